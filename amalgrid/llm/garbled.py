@@ -117,27 +117,72 @@ def plausible(token: str, lookalike: frozenset[str] = frozenset()) -> bool:
     return not (scripts == {"latin"} and letters >= 3 and not ascii_letters)
 
 
-def _forms(lookalike: frozenset[str]):
+_LOST = "\uffff"
+_BY_CHARACTER = tuple(k for k, chain in enumerate(CHAINS) if all(r not in ("utf-8", "ascii", "gbk", "big5", "shift_jis", "euc_jp", "euc_kr") for _, r in chain))
+#: Bits of the filter on forms: 16 a token, and never more than this, 16 MB.
+FILTER_BITS = 1 << 27
+
+
+class _Characters(dict):
+    """A chain as a translation of characters, made as they occur; only for chains that read byte by byte."""
+
+    def __init__(self, chain: tuple[tuple[str, str], ...]):
+        super().__init__()
+        self.chain = chain
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        form = garble(c, self.chain)
+        if form is None:
+            try:
+                c.encode(self.chain[0][0])
+                form = c
+            except UnicodeEncodeError:
+                form = _LOST
+        self[point] = form
+        return form
+
+
+def _forms(bitmap, bits: int):
+    """Words -> (form, original, chain), for forms that the corpus may hold according to its bitmap."""
+    from zlib import crc32
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bitmap.value
+        tables = {k: _Characters(CHAINS[k]) for k in _BY_CHARACTER}
         for batch in batches:
             forms: list[str] = []
             originals: list[str] = []
             chains: list[int] = []
             for word in batch.column(0).to_pylist():
-                mine = set()
+                mine = {word}
                 for k, chain in enumerate(CHAINS):
-                    form = garble(word, chain)
-                    if form is None or form in mine or any(b in form for b in " \t\r\n") or not form.strip("?�"):
+                    form = word.translate(tables[k]) if k in tables else garble(word, chain)
+                    if form is None or form in mine or _LOST in form:
                         continue
                     mine.add(form)
-                    forms.append(form.lower())
-                    originals.append(word)
-                    chains.append(k)
+                    low = form.lower()
+                    bit = crc32(low.encode("utf-8", "replace")) & (bits - 1)
+                    if held[bit >> 3] >> (bit & 7) & 1 and not any(x in form for x in " \t\r\n") and form.strip("?�"):
+                        forms.append(low)
+                        originals.append(word)
+                        chains.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(forms, pa.string()), pa.array(originals, pa.string()), pa.array(chains, pa.int32())], names=["form", "original", "chain"])
 
     return run
 
 
+def _bitmap(tokens: DataFrame, bits: int) -> bytes:
+    """One bit for each checksum of a lower-case token: of fixed size, whatever the corpus."""
+    place = tokens.select((F.crc32(F.lower("token")) % bits + 1).alias("bit"))  # these functions count from 1
+    parts = place.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    out = bytearray(bits // 8 + 4096 * 2)
+    for bucket, part in parts.toLocalIterator():
+        at = (bucket - 1) * 4096
+        out[at : at + 4096] = part
+    return bytes(out)
+
+
 #: ASCII letters that have a twin in Cyrillic or Greek; a word of these alone may be such a word.
 _TWINS = (frozenset("ABCEHIJKMOPSTXYaceiopsxy"), frozenset("ABEHIKMNOPTXYZopuvxy"))
 
@@ -238,17 +283,22 @@ def garbled_tokens(rows: DataFrame) -> DataFrame:
     tokens = strange.select(F.explode(F.split("name", _SPLIT)).alias("token")).filter(F.col("token").rlike("[^\\x00-\\x7F]"))
     tokens = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("ok", is_plausible("token")))
     clean = tokens.filter("ok")
-    forms = clean.select("token").mapInArrow(_forms(lookalike), "form string, original string, chain int")
+    count = tokens.count()
+    bits = min(FILTER_BITS, 1 << max(16, (16 * count).bit_length()))
+    # Most forms occur nowhere; the filter keeps them out of the shuffle, and the join decides about the rest.
+    bitmap = spark.sparkContext.broadcast(_bitmap(tokens, bits))
+    tasks = max(spark.sparkContext.defaultParallelism, count // 50_000)
+    forms = clean.select("token").repartition(tasks).mapInArrow(_forms(bitmap, bits), "form string, original string, chain int")
     forms = forms.groupBy("form").agg(F.min(F.struct("chain", "original")).alias("f")).select("form", "f.chain", "f.original")
     # A plausible word counts as garbled only against a commoner original: then the rarer one is the accident.
     common = clean.select(F.col("token").alias("original"), F.col("n").alias("n_original"))
-    words = tokens.withColumn("form", F.lower("token")).join(forms, "form").filter(F.lower("original") != F.col("form"))
+    words = cut(tokens.withColumn("form", F.lower("token")).join(forms, "form").filter(F.lower("original") != F.col("form")))
     sure = words.filter("not ok").select("token", "original", "chain")
     unsure = words.filter("ok").join(common, "original").filter("n_original > 2 * n").select("token", "original", "chain")
     # Distinct characters: bounded by Unicode, whatever the corpus.
     letters = sorted(r[0] for r in clean.select(F.explode(F.split("token", "")).alias("c")).filter(F.col("c").rlike("[^\\x00-\\x7F]")).distinct().collect())
     letters = sorted({*letters, *_GOOD_MARKS, "\xa0", "™", "€"})
-    parts = tokens.filter("not ok").select("token").mapInArrow(_undo_all(letters, lookalike), "token string, original string, chain int")
+    parts = tokens.filter("not ok").select("token").repartition(tasks).mapInArrow(_undo_all(letters, lookalike), "token string, original string, chain int")
     both = sure.unionByName(unsure).unionByName(parts)
     return both.groupBy("token").agg(F.min(F.struct(F.col("original").isNull().alias("lost"), F.length("original").alias("n"), "chain", "original")).alias("b")).select("token", "b.original", "b.chain")
 
