@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from amalgrid.llm.components import connected
 from amalgrid.llm.garbled import garbled_records
 from amalgrid.llm.lookalikes import NativeFold, distinct_records, lookalike_table, python_column
+from amalgrid.session import cut
 
 BUCKETS = 256
 
@@ -49,8 +50,9 @@ def name_keys(name: str, fold: NativeFold) -> tuple[str, str, str] | None:
     words = _words(text)
     if not words:
         return None
-    closed = _words(_INSIDE.sub("", text))
-    return " ".join(sorted(words)), " ".join(sorted(closed)), "".join(words)
+    key = " ".join(sorted(words))
+    closed = " ".join(sorted(_words(_INSIDE.sub("", text)))) if _INSIDE.search(text) else key
+    return key, closed, "".join(words)
 
 
 def add_keys(df: DataFrame, source: str = "name") -> DataFrame:
@@ -61,20 +63,24 @@ def add_keys(df: DataFrame, source: str = "name") -> DataFrame:
     return keyed.filter("_keys <> ''").withColumns({"key": parts[0], "closed": parts[1], "run": parts[2]}).drop("_keys")
 
 
+def _mark(kind: str, column: str):
+    """A key part as two independent hashes, 96 bits: narrow in the shuffle, and as good as the text."""
+    return F.struct(F.xxhash64(F.lit(kind), column).alias("h"), F.crc32(column).alias("c"))
+
+
 def canonical(keyed: DataFrame) -> DataFrame:
     """``keyed(key, closed, run, ...)`` with ``canon``: one key for all that any of the three keys makes equal.
 
     Only keys that really meet in ``closed`` or ``run`` (few) go through the grouping of links.
     """
-    uses = keyed.select("key", F.explode(F.array(F.concat(F.lit("c"), "closed"), F.concat(F.lit("r"), "run"), F.concat(F.lit("c"), "key"))).alias("mark")).distinct()
-    meet = uses.groupBy("mark").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low <> high").select("mark", "low")
-    pairs = uses.join(meet, "mark").filter("key <> low").select("key", "low").distinct()
-    # Keys are numbered by hash for the union-find; 64 bits over the few keys that meet.
-    links = pairs.select(F.xxhash64("key").alias("a"), F.xxhash64("low").alias("b"))
-    groups = connected(links).withColumnRenamed("node", "_h").withColumnRenamed("root", "_g")
-    both = pairs.select("key").union(pairs.select("low")).distinct().withColumn("_h", F.xxhash64("key")).join(groups, "_h")
-    canon = both.groupBy("_g").agg(F.min("key").alias("canon")).join(both, "_g").select("key", "canon")
-    return keyed.join(canon, "key", "left").withColumn("canon", F.coalesce("canon", "key"))
+    marks = F.array_compact(F.array(F.when(F.col("closed") != F.col("key"), _mark("c", "closed")), _mark("r", "run"), _mark("c", "key")))
+    uses = keyed.select(F.xxhash64("key").alias("node"), F.explode(marks).alias("mark")).distinct()
+    meet = uses.groupBy("mark").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("mark", "low")
+    links = uses.join(meet, "mark").filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    groups = connected(links)
+    known = keyed.select("key").withColumn("node", F.xxhash64("key")).join(groups, "node").distinct()
+    canon = known.groupBy("root").agg(F.min("key").alias("canon")).join(known, "root").select("key", "canon")
+    return keyed.join(cut(canon), "key", "left").withColumn("canon", F.coalesce("canon", "key"))
 
 
 def batch_counts(keyed: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -111,7 +117,7 @@ def collapse(df: DataFrame, id_col: str = "record_id", name_col: str = "record_n
     rows = distinct_records(df, id_col, name_col)
     bad = garbled if garbled is not None else garbled_records(df, id_col, name_col)
     rows = rows.join(bad.select(F.col(id_col).alias("id")).distinct(), "id", "left_anti")
-    keyed = canonical(add_keys(rows))
+    keyed = canonical(cut(add_keys(rows)))
     after = update_ledger(ledger if ledger is not None else empty_ledger(df.sparkSession), batch_counts(keyed))
     return after, keyed.select("canon", "id").distinct()
 
