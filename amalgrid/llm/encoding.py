@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain, groupby
 from pathlib import Path
 
 import pyarrow as pa
@@ -24,6 +26,10 @@ from pyspark.sql import functions as F
 TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the pattern that cuts text before this family of vocabularies is applied.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: The same for ASCII text, in the faster of the two regular expression libraries.
+_ASCII = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^ \t\n\r\x0b\x0cA-Za-z0-9]+|[ \t\n\r\x0b\x0c]+\Z|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]").findall
+#: No piece spans this place: a piece holds blanks only before other signs, or nothing but blanks.
+_BEFORE_BREAK = re.compile(r"(?<=[^\s\x1c-\x1f])(?=\n)")
 SHORT = 96
 CACHE = 200_000
 _NONE = 1 << 60
@@ -79,7 +85,18 @@ class Encoder:
     """Encodes texts with one vocabulary; keeps the ids of pieces seen, at most ``CACHE`` of them."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
-        self.ranks, self.pieces, self.known = ranks, regex.compile(pattern).findall, {}
+        self.ranks, self.known = ranks, {}
+        self.any = regex.compile(pattern).findall
+        self.pieces = self._mixed if pattern == PATTERN else self.any
+
+    def _mixed(self, text: str) -> list[str]:
+        """The pieces of a text, its ASCII stretches by the faster pattern."""
+        if text.isascii():
+            return _ASCII(text)
+        out: list[str] = []
+        for plain, lines in groupby(_BEFORE_BREAK.split(text), str.isascii):
+            out += (_ASCII if plain else self.any)("".join(lines))
+        return out
 
     def piece(self, piece: str) -> list[int]:
         word = piece.encode("utf-8", "replace")
@@ -92,10 +109,11 @@ class Encoder:
         return ids
 
     def encode_into(self, text: str, out: array) -> None:
-        known = self.known
-        for p in self.pieces(text):
-            ids = known.get(p)
-            out.extend(self.piece(p) if ids is None else ids)
+        pieces = self.pieces(text)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            found = [self.piece(p) if ids is None else ids for p, ids in zip(pieces, found)]
+        out.extend(chain.from_iterable(found))
 
     def encode(self, text: str | None) -> list[int]:
         out = array("i")
