@@ -10,8 +10,10 @@ The counts are three partial aggregations; the model holds only what passes its
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -36,27 +38,28 @@ _FREQUENT = {
     "it": "il lo gli è di che per una con non sono della nel più alla dei questo si ha le".split(),
     "nl": "de het een van en is op te dat niet voor met zijn er aan ook als bij naar om".split(),
 }
-_FREQUENT = {k: frozenset(v) for k, v in _FREQUENT.items()}
+_VOTES: dict[str, list[str]] = {}
+for _lang, _words in _FREQUENT.items():
+    for _w in _words:
+        _VOTES.setdefault(_w, []).append(_lang)
 _SCRIPTS = [(name, regex.compile(rf"\p{{{script}}}")) for name, script in (("ru", "Cyrillic"), ("el", "Greek"), ("hi", "Devanagari"), ("ar", "Arabic"), ("am", "Ethiopic"), ("th", "Thai"), ("lo", "Lao"), ("ja", "Hiragana"), ("zh", "Han"), ("ko", "Hangul"), ("he", "Hebrew"), ("hy", "Armenian"), ("ka", "Georgian"))]
+_OTHER = regex.compile(r"[\p{Cyrillic}\p{Greek}\p{Devanagari}\p{Arabic}\p{Ethiopic}\p{Thai}\p{Lao}\p{Hiragana}\p{Han}\p{Hangul}\p{Hebrew}\p{Armenian}\p{Georgian}]")
 _LATIN = regex.compile(r"\p{Latin}")
-_LOWER_WORDS = regex.compile(r"[\p{L}\p{M}]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 def language(text: str) -> str:
     """The language of a piece of prose: by script, and for Latin script by its most frequent words."""
-    counts = {name: n for name, r in _SCRIPTS if (n := len(r.findall(text)))}
-    if counts:
-        name = max(counts, key=lambda k: counts[k])
-        if "ja" in counts:
-            name = "ja"
-        if counts[name] * 2 >= len(_LATIN.findall(text)) or name in ("th", "ja", "zh"):
+    if not text.isascii() and _OTHER.search(text):
+        counts = {name: n for name, r in _SCRIPTS if (n := len(r.findall(text)))}
+        name = "ja" if "ja" in counts else max(counts, key=lambda k: counts[k])
+        if name in ("th", "ja", "zh") or counts[name] * 2 >= len(_LATIN.findall(text)):
             return name
-    votes = Counter()
-    for w in _LOWER_WORDS.findall(text.lower()):
-        for lang, words in _FREQUENT.items():
-            votes[lang] += w in words
-    best = max(_FREQUENT, key=lambda k: votes[k])
-    return best if votes[best] else "en"
+    votes: dict[str, int] = {}
+    for w in _WORDS.findall(text.lower()):
+        for lang in _VOTES.get(w, ()):
+            votes[lang] = votes.get(lang, 0) + 1
+    return max(_FREQUENT, key=lambda k: votes.get(k, 0)) if votes else "en"
 
 
 # --- units ------------------------------------------------------------------------------------
@@ -64,31 +67,36 @@ def language(text: str) -> str:
 _HEADING = regex.compile(r"[ \t]{0,3}#{1,6}[ \t]+(?:\d+(?:\.\d+)*\.?[ \t]+)?")
 _ITEM = regex.compile(r"[ \t]*(?:[-*+•‣◦]|\(?\d{1,9}[.)]|\(?[a-zA-Z]\))[ \t]+")
 _QUOTE = regex.compile(r"[ \t]{0,3}>[ \t>]*")
-_LINE = regex.compile(r"[^\n]*\n?")
+_MARKED = frozenset(" \t#>-*+•‣◦([0123456789")
 
 
 def units(text: str) -> Iterator[tuple[int, int, int]]:
     """(start, end, body): headings, list lines and paragraphs; the body begins after the leading mark."""
     begin = body = end = -1
     quoted = False
-    at = 0
-    while at < len(text):
-        m = _LINE.match(text, at)
-        line, start, at = m[0].rstrip("\r\n"), at, m.end()
+    start = 0
+    for line in text.split("\n"):
+        after = start + len(line) + 1
+        line = line.rstrip("\r")
         stop = start + len(line)
-        if not line.strip():
+        if not line or line.isspace():
             if begin >= 0:
                 yield begin, end, body
             begin, quoted = -1, False
+            start = after
             continue
-        quote = _QUOTE.match(line)
-        mark = start + (quote.end() if quote else 0)
-        inner = text[mark:stop]
-        if (m := _HEADING.match(inner) or _ITEM.match(inner)) and m.end() <= len(inner):
+        mark, quote, m = start, None, None
+        if line[0] in _MARKED or line[1:2] in (")", "."):
+            quote = _QUOTE.match(line)
+            mark = start + (quote.end() if quote else 0)
+            inner = text[mark:stop]
+            m = _HEADING.match(inner) or _ITEM.match(inner)
+        if m:
             if begin >= 0:
                 yield begin, end, body
             yield start, stop, mark + m.end()
             begin, quoted = -1, False
+            start = after
             continue
         if begin >= 0 and bool(quote) != quoted:
             yield begin, end, body
@@ -96,6 +104,7 @@ def units(text: str) -> Iterator[tuple[int, int, int]]:
         if begin < 0:
             begin, body, quoted = start, mark, bool(quote)
         end = stop
+        start = after
     if begin >= 0:
         yield begin, end, body
 
@@ -114,6 +123,7 @@ _WIDE = "。．｡！？"
 _FINAL = "।॥።፧᙮؟۔։⁇⁈⁉‽"
 
 
+@lru_cache(maxsize=1 << 17)
 def word_type(token: str) -> str:
     """A token without its outer marks and final period, in lower case; one type for all numbers."""
     t = token.strip(_STRIP)
@@ -121,6 +131,7 @@ def word_type(token: str) -> str:
     return "#" if _NUMBER.fullmatch(t) else t.lower()
 
 
+@lru_cache(maxsize=1 << 17)
 def first_letter(token: str) -> str:
     for c in token:
         if c.isalnum():
@@ -128,6 +139,9 @@ def first_letter(token: str) -> str:
     return ""
 
 
+_PAIRED = re.compile("[" + re.escape('"' + "".join(_PAIRS) + "".join(_PAIRS.values())) + "]")
+
+
 class Marks:
     """What stands inside quotes and brackets that close within the unit."""
 
@@ -135,7 +149,7 @@ class Marks:
         self.inside = bytearray(len(s) + 1)
         self.starts: dict[int, int] = {}
         stack: list[tuple[str, int]] = []
-        for i, c in enumerate(s):
+        for i, c in ((m.start(), m[0]) for m in _PAIRED.finditer(s)):
             if c == '"':
                 if stack and any(x[0] == '"' for x in stack):
                     while stack[-1][0] != '"':
@@ -154,8 +168,7 @@ class Marks:
 
     def _close(self, low: int, high: int) -> None:
         self.starts[high] = low
-        for k in range(low, high):
-            self.inside[k] = 1
+        self.inside[low:high] = b"\1" * (high - low)
 
 
 class Model:
@@ -267,43 +280,67 @@ def boundaries(s: str, lang: str, model: Model | None, on_period=None) -> Iterat
     yield n
 
 
+def unit_sentences(unit: str, lead: int, lang: str, model: Model) -> Iterator[tuple[int, int]]:
+    """(start, end) of every sentence of one unit, without surrounding blanks."""
+    begin = 0
+    for stop in boundaries(unit[lead:], lang, model):
+        piece = unit[begin : lead + stop]
+        a = begin + len(piece) - len(piece.lstrip())
+        b = begin + len(piece.rstrip())
+        if a < b:
+            yield a, b
+        begin = lead + stop
+
+
 def sentences(text: str, model: Model) -> Iterator[tuple[int, int]]:
-    """(start, end) of every sentence of one piece of prose, without surrounding blanks."""
+    """(start, end) of every sentence of one piece of prose."""
     whole = language(text)
     for start, end, body in units(text):
-        s = text[body:end]
-        lang = language(s) if len(s) > 20 else whole
-        begin = start
-        for stop in boundaries(s, lang, model):
-            piece = text[begin : body + stop]
-            a = begin + len(piece) - len(piece.lstrip())
-            b = begin + len(piece.rstrip())
-            if a < b:
-                yield a, b
-            begin = body + stop
+        lang = language(text[body:end]) if end - body > 20 else whole
+        for a, b in unit_sentences(text[start:end], body - start, lang, model):
+            yield start + a, start + b
 
 
 # --- statistics over all documents ------------------------------------------------------------
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, str]]:
-    """(doc_id, offset, prose) of every text cell; cells beyond the text are clipped."""
-    for doc, text, cells in zip(*(batch.column(k).to_pylist() for k in range(3))):
-        if not text or not cells:
-            continue
-        for cell in cells:
-            if cell and cell["kind"] == "text" and cell["start_at"] is not None and cell["end_at"] is not None:
-                a, b = max(0, cell["start_at"]), min(len(text), cell["end_at"])
-                if a < b:
-                    yield doc, a, text[a:b]
+def _prose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents -> units of their text cells: (doc_id, at, lead, lang, unit). Cells beyond the text are clipped."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+    names = ["doc_id", "at", "lead", "lang", "unit"]
+    for whole in batches:
+        for low in range(0, whole.num_rows, 1000):
+            batch = whole.slice(low, 1000)
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for doc, text, cells in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if not text or not cells:
+                    continue
+                for cell in cells:
+                    if not cell or cell["kind"] != "text" or cell["start_at"] is None or cell["end_at"] is None:
+                        continue
+                    a, b = max(0, cell["start_at"]), min(len(text), cell["end_at"])
+                    if a >= b:
+                        continue
+                    prose, whole_lang = text[a:b], None
+                    for start, end, body in units(prose):
+                        if end - body > 20:
+                            lang = language(prose[body:end])
+                        else:
+                            lang = whole_lang = whole_lang or language(prose)
+                        for c, v in zip(out, (doc, a + start, body - start, lang, prose[start:end])):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
+
+
+def prose_units(docs: DataFrame) -> DataFrame:
+    """(doc_id, at, lead, lang, unit): headings, list lines and paragraphs of the text cells of all documents."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "cells")
+    return source.mapInArrow(_prose, "doc_id long, at int, lead int, lang string, unit string")
 
 
 def _bodies(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
-    for _, _, prose in _texts(batch):
-        whole = language(prose)
-        for _, end, body in units(prose):
-            s = prose[body:end]
-            yield (language(s) if len(s) > 20 else whole), s
+    for lead, lang, unit in zip(*(batch.column(k).to_pylist() for k in range(2, 5))):
+        yield lang, unit[lead:]
 
 
 def _emit(counts: Counter) -> pa.RecordBatch:
@@ -314,23 +351,46 @@ def _emit(counts: Counter) -> pa.RecordBatch:
 _FLUSH = 200_000
 
 
+@lru_cache(maxsize=1 << 17)
+def _dotted(token: str) -> tuple[str, str] | None:
+    """(kind, type) of a token for the count of final periods; a quoted or bracketed end tells nothing of the word."""
+    core = token.strip(_STRIP)
+    t = word_type(token)
+    if not t or (core.endswith(".") and not token.endswith(".") and token[-1] in _CLOSERS):
+        return None
+    return "dot" if core.endswith(".") and not core.endswith("..") else "bare", t
+
+
 def _count_types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Types with and without a final period; quoted or bracketed ends tell nothing of the word and are left out."""
-    counts: Counter = Counter()
+    """Tokens with and without a final period."""
+    tokens: dict[str, Counter] = {}
     for batch in batches:
         for lang, s in _bodies(batch):
-            for m in _TOKEN.finditer(s):
-                token = m[0]
-                core = token.strip(_STRIP)
-                t = word_type(token)
-                if not t or (core.endswith(".") and not token.endswith(".") and token[-1] in _CLOSERS):
-                    continue
-                counts[lang, "dot" if core.endswith(".") and not core.endswith("..") else "bare", t] += 1
-        if len(counts) > _FLUSH:
-            yield _emit(counts)
-            counts = Counter()
-    if counts:
-        yield _emit(counts)
+            if lang not in tokens:
+                tokens[lang] = Counter()
+            tokens[lang].update(s.split())
+        if sum(map(len, tokens.values())) > _FLUSH:
+            yield _emit(_by_type(tokens))
+            tokens = {}
+    if tokens:
+        yield _emit(_by_type(tokens))
+
+
+def _by_type(tokens: dict[str, Counter]) -> Counter:
+    counts: Counter = Counter()
+    for lang, c in tokens.items():
+        for token, n in c.items():
+            if (k := _dotted(token)) is not None:
+                counts[lang, k[0], k[1]] += n
+    return counts
+
+
+@lru_cache(maxsize=1 << 17)
+def _seen(token: str) -> tuple[str, str, bool, bool]:
+    """(type, letter case, may stand within a sentence, is a number or an initial)."""
+    t, c = word_type(token), first_letter(token)
+    case = "lower" if c.islower() else "upper" if c.isupper() else ""
+    return t, case, token[0] not in _OPEN + "\"'", t == "#" or len(t) == 1 and t.isalpha()
 
 
 def _count_contexts(abbr: dict[str, set[str]]):
@@ -339,37 +399,55 @@ def _count_contexts(abbr: dict[str, set[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model([(lang, "abbr", t) for lang, ts in abbr.items() for t in ts])
         counts: Counter = Counter()
+        plain: dict[str, Counter] = {}
+        first: Counter = Counter()
+        pairs: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            for lang, c in plain.items():
+                for token, n in c.items():
+                    t, case, within, _ = _seen(token)
+                    counts[lang, "total", ""] += n
+                    if t:
+                        counts[lang, "all", t] += n
+                        if case == "lower":
+                            counts[lang, "lower", t] += n
+                        elif case == "upper" and within and n > first[lang, token]:
+                            counts[lang, "inner", t] += n - first[lang, token]
+            for (lang, token, following), n in pairs.items():
+                t, f = word_type(token), word_type(following)
+                counts[lang, "pair", f"{t}\t{f}"] += n
+                counts[lang, "dotted", t] += n
+            made = _emit(counts)
+            for c in (counts, plain, first, pairs):
+                c.clear()
+            return made
+
         for batch in batches:
             for lang, s in _bodies(batch):
-
-                def on_period(token: str, following: str, lang: str = lang) -> None:
-                    t, n = word_type(token), word_type(following)
-                    counts[lang, "pair", f"{t}\t{n}"] += 1
-                    counts[lang, "dotted", t] += 1
-
-                ends = set(boundaries(s, lang, model, on_period))
-                fresh, before = True, ""
-                for m in _TOKEN.finditer(s):
+                words = s.split()
+                if not words:
+                    continue
+                if lang not in plain:
+                    plain[lang] = Counter()
+                plain[lang].update(words)
+                first[lang, words[0]] += 1
+                if lang in ("th", "lo"):
+                    continue
+                for stop in boundaries(s, lang, model, lambda token, following, lang=lang: pairs.update(((lang, token, following),))):
+                    if stop >= len(s) or not (m := _TOKEN.search(s, stop)):
+                        continue
                     token = m[0]
-                    t = word_type(token)
-                    c = first_letter(token)
-                    if t:
-                        counts[lang, "all", t] += 1
-                        if c.islower():
-                            counts[lang, "lower", t] += 1
-                        elif c.isupper() and not fresh and token[0] not in _OPEN + "\"'":
-                            counts[lang, "inner", t] += 1
-                        # After a number or an initial a break is not sure enough to learn from.
-                        if fresh and m.start() and not (before == "#" or len(before) == 1 and before.isalpha()):
-                            counts[lang, "start", t] += 1
-                            counts[lang, "starts", ""] += 1
-                        counts[lang, "total", ""] += 1
-                    fresh, before = m.end() in ends, t
-            if len(counts) > _FLUSH:
-                yield _emit(counts)
-                counts = Counter()
-        if counts:
-            yield _emit(counts)
+                    first[lang, token] += 1
+                    # After a number or an initial a break is not sure enough to learn from.
+                    before = s[max(0, stop - 60) : stop].split()
+                    if (t := word_type(token)) and before and not _seen(before[-1])[3]:
+                        counts[lang, "start", t] += 1
+                        counts[lang, "starts", ""] += 1
+            if len(counts) + len(pairs) + len(first) > _FLUSH:
+                yield flush()
+        if plain:
+            yield flush()
 
     return run
 
@@ -403,9 +481,9 @@ def _llr_col(a, b, ab, n):
     return -2 * (_ll_col(ab, a, p) + _ll_col(b - ab, n - a, p) - _ll_col(ab, a, p1) - _ll_col(b - ab, n - a, p2))
 
 
-def abbreviations(docs: DataFrame) -> DataFrame:
+def abbreviations(prose: DataFrame) -> DataFrame:
     """(lang, value, score): words whose period belongs to them."""
-    counts = docs.mapInArrow(_count_types, "lang string, kind string, value string, n long").groupBy("lang", "value").agg(F.sum(F.when(F.col("kind") == "dot", F.col("n")).otherwise(0)).alias("dot"), F.sum(F.when(F.col("kind") == "bare", F.col("n")).otherwise(0)).alias("bare"))
+    counts = prose.mapInArrow(_count_types, "lang string, kind string, value string, n long").groupBy("lang", "value").agg(F.sum(F.when(F.col("kind") == "dot", F.col("n")).otherwise(0)).alias("dot"), F.sum(F.when(F.col("kind") == "bare", F.col("n")).otherwise(0)).alias("bare"))
     counts = cut(counts)
     totals = counts.groupBy("lang").agg(F.sum("dot").alias("dots"), F.sum(F.col("dot") + F.col("bare")).alias("total"))
     # One row per language: never more than a few hundred.
@@ -418,13 +496,13 @@ def abbreviations(docs: DataFrame) -> DataFrame:
     return c.withColumn("score", score).filter((F.col("score") >= ABBREVIATION) & F.col("value").rlike("^[\\p{L}\\p{M}.\\-]*[\\p{L}\\p{M}]$")).select("lang", "value", "score")
 
 
-def learn(docs: DataFrame) -> DataFrame:
-    """(lang, kind, value): the model, from ``docs(doc_id, text, cells)``: kinds abbr, start, pair, lower, inner."""
-    abbr = cut(abbreviations(docs))
+def learn(prose: DataFrame) -> DataFrame:
+    """(lang, kind, value): the model of ``prose_units``: kinds abbr, start, pair, lower, inner."""
+    abbr = cut(abbreviations(prose))
     known: dict[str, set[str]] = {}
     for lang, value in abbr.select("lang", "value").toLocalIterator():
         known.setdefault(lang, set()).add(value)
-    counts = docs.mapInArrow(_count_contexts(known), "lang string, kind string, value string, n long").groupBy("lang", "kind", "value").agg(F.sum("n").cast("double").alias("n"))
+    counts = prose.mapInArrow(_count_contexts(known), "lang string, kind string, value string, n long").groupBy("lang", "kind", "value").agg(F.sum("n").cast("double").alias("n"))
     counts = cut(counts)
     everything = counts.filter("kind = 'all'").select("lang", "value", F.col("n").alias("n_all"))
     totals = counts.filter("kind in ('total', 'starts')").groupBy("lang").agg(F.sum(F.when(F.col("kind") == "total", F.col("n")).otherwise(0)).alias("n_total"), F.sum(F.when(F.col("kind") == "starts", F.col("n")).otherwise(0)).alias("n_starts"))
@@ -439,10 +517,15 @@ def learn(docs: DataFrame) -> DataFrame:
     # Across a period a number may follow any word; another word only an abbreviation, a number or an initial.
     fit = (F.col("second") == "#") | F.coalesce("is_abbr", F.lit(False)) | (F.col("first") == "#") | (F.length("first") == 1)
     strong = (_llr_col(F.col("n_first"), F.col("n_second"), F.col("n"), F.col("n_total")) >= COLLOCATION) & (F.col("n_total") / F.col("n_first") > F.col("n_second") / F.col("n")) & (F.col("n") > 1)
+    # After an abbreviation only a word that is also written small could begin a sentence at all.
+    small = counts.filter("kind = 'lower'").select("lang", F.col("value").alias("second"), F.lit(True).alias("is_small"))
+    pairs = pairs.join(small, ["lang", "second"], "left").filter((F.col("second") == "#") | (F.col("first") == "#") | F.col("is_small"))
     pairs = pairs.filter(fit & strong).select("lang", F.lit("pair").alias("kind"), "value")
     # Letter case matters only for words that ever follow a period.
     after = counts.filter("kind = 'pair'").select("lang", F.split("value", "\t")[1].alias("value")).distinct()
-    case = counts.filter("kind in ('lower', 'inner')").select("lang", "kind", "value").join(after, ["lang", "value"], "left_semi").select("lang", "kind", "value")
+    lower = counts.filter("kind = 'lower'").select("lang", "kind", "value").join(after, ["lang", "value"], "left_semi")
+    inner = counts.filter("kind = 'inner'").select("lang", "kind", "value").join(lower.select("lang", "value"), ["lang", "value"], "left_semi")
+    case = lower.select("lang", "kind", "value").unionByName(inner.select("lang", "kind", "value"))
     return abbr.select("lang", F.lit("abbr").alias("kind"), "value").unionByName(starters).unionByName(pairs).unionByName(case)
 
 
@@ -453,27 +536,25 @@ def split_corpus(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     output give no rows; a row delivered twice is split twice.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "cells")
-    model = cut(learn(source))
-    langs: list[str | None] = [None] if model.count() <= model_rows else sorted(r[0] for r in model.select("lang").distinct().collect())
+    prose = cut(prose_units(docs))
+    model = cut(learn(prose))
+    langs: list[str | None] = [None] if model.count() <= model_rows else sorted(r[0] for r in prose.select("lang").distinct().collect())
     out = None
     for only in langs:
-        part = model if only is None else model.filter(F.col("lang") == only)
-        shared = spark.sparkContext.broadcast([tuple(r) for r in part.toLocalIterator()])
+        mine = model if only is None else model.filter(F.col("lang") == only)
+        shared = spark.sparkContext.broadcast([tuple(r) for r in mine.toLocalIterator()])
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, only=only) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             learned = Model(shared.value)
             for batch in batches:
                 docs_, starts, ends = [], [], []
-                for doc, offset, prose in _texts(batch):
-                    if only is not None and language(prose) != only:
-                        continue
-                    for a, b in sentences(prose, learned):
+                for doc, at, lead, lang, unit in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                    for a, b in unit_sentences(unit, lead, lang, learned):
                         docs_.append(doc)
-                        starts.append(offset + a)
-                        ends.append(offset + b)
+                        starts.append(at + a)
+                        ends.append(at + b)
                 yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "start_at", "end_at"])
 
-        rows = source.mapInArrow(run, "doc_id long, start_at int, end_at int")
+        rows = (prose if only is None else prose.filter(F.col("lang") == only)).mapInArrow(run, "doc_id long, start_at int, end_at int")
         out = rows if out is None else out.unionByName(rows)
     return out if out is not None else spark.createDataFrame([], "doc_id long, start_at int, end_at int")
