@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ _OPEN, _CLOSE = "([{“„«‹「『（【《〈‘¿¡", ")]}”»›」』）
 _PAIRS = {"(": ")", "[": "]", "{": "}", "“": "”", "„": "“", "«": "»", "‹": "›", "「": "」", "『": "』", "（": "）", "【": "】", "《": "》", "〈": "〉"}
 _CLOSERS = "\"'*_`" + _CLOSE + "“"
 #: A mark that ends a sentence, what closes after it, and whether a blank or the end follows.
-_END = regex.compile(rf"(?P<mark>\.{{2,}}|…+|[.。．｡！？!?؟।॥።፧᙮։۔;;⁇⁈⁉‽]+)(?P<spaced>[  ](?=[»])|)(?P<close>[{regex.escape(_CLOSERS)}»]*)")
+_END = re.compile(rf"(\.{{2,}}|…+|[.。．｡！？!?؟।॥።፧᙮։۔;;⁇⁈⁉‽]+)([  ](?=»)|)([{re.escape(_CLOSERS)}»]*)")
 _TOKEN = regex.compile(r"\S+")
 _STRIP = "\"'`*_~" + _OPEN + _CLOSE + "“,:;!?…"
 _NUMBER = regex.compile(r"[-+]?\p{Nd}+(?:[.,:/]\p{Nd}+)*%?")
@@ -213,45 +214,54 @@ def boundaries(s: str, lang: str, model: Model | None, on_period=None) -> Iterat
             yield m.start()
         yield n
         return
-    marks = Marks(s)
+    marks = Marks(s) if _PAIRED.search(s) else None
+    if marks and not marks.starts:
+        marks = None
+    search = _END.search
+    greek = lang == "el"
     at = 0
-    while m := _END.search(s, at):
-        mark, stop = m["mark"], m.end()
-        at = stop
-        close_from = m.end("mark")
+    while m := search(s, at):
+        mark, spaced, close = m.groups()
+        stop = at = m.end()
+        close_from = m.end(1)
+        if stop < n and not close and not spaced and mark == "." and not s[stop].isspace():
+            continue
         # A closing mark belongs to this sentence only if it closes something opened before.
-        if m["close"] and m["close"][-1] in "“\"«" and m.end() - 1 not in marks.starts:
+        if close and close[-1] in "“\"«" and not (marks and stop - 1 in marks.starts):
             stop -= 1
-        if m["spaced"] and not m["close"]:
+        if spaced and not close:
             stop = close_from
-        ended = stop >= n
-        gap = ended or s[stop].isspace()
-        if mark.strip(";;") == "" and lang != "el":
-            continue
-        if any(marks.inside[k] and marks.inside[stop - 1 if stop > close_from else close_from] for k in (m.start(),)) and not (stop > close_from and not marks.inside[stop] if stop < n else True):
-            continue
-        if stop < n and marks.inside[stop] and not (stop in marks.starts.values()):
+        gap = stop >= n or s[stop].isspace()
+        if not greek and not mark.strip(";;"):
             continue
-        quoted = any(k in marks.starts for k in range(close_from, stop))
+        quoted = False
+        if marks:
+            inside = marks.inside
+            if inside[m.start()] and (inside[close_from] if stop <= close_from else inside[stop - 1] and stop < n and inside[stop]):
+                continue
+            if stop < n and inside[stop] and stop not in marks.starts.values():
+                continue
+            quoted = any(k in marks.starts for k in range(close_from, stop))
         rest = s[stop:].lstrip()
         if not rest:
             break
         if quoted and rest[0] in ",;:–—-،、，":
             continue
         last = mark[-1]
-        wide = any(c in _WIDE for c in mark)
+        plain = mark == "."
+        wide = not plain and any(c in _WIDE for c in mark)
         if wide or (mark[0] == "…" and not gap and ord(rest[0]) > 0x2E7F):
             if quoted and not gap and rest[0] not in "「『“《（【":
                 continue
             yield stop
             continue
-        if any(c in _FINAL for c in mark):
+        if not plain and any(c in _FINAL for c in mark):
             if not (quoted and first_letter(rest).islower()):
                 yield stop
             continue
         if not gap:
             continue
-        following = _TOKEN.match(rest)[0]
+        following = rest.split(None, 1)[0]
         letter = first_letter(following)
         if quoted:
             head = s[marks.starts[max(k for k in range(close_from, stop) if k in marks.starts)]]
@@ -272,7 +282,7 @@ def boundaries(s: str, lang: str, model: Model | None, on_period=None) -> Iterat
             continue
         left = s.rfind(" ", 0, m.start()) + 1
         left = max(left, s.rfind("\n", 0, m.start()) + 1, s.rfind("\t", 0, m.start()) + 1)
-        token = s[left : m.end("mark")]
+        token = s[left : close_from]
         if on_period:
             on_period(token, following)
         if model is None or model.breaks(lang, token, following):
@@ -312,13 +322,19 @@ def _prose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low in range(0, whole.num_rows, 1000):
             batch = whole.slice(low, 1000)
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text, cells in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if not text or not cells:
+            cells = batch.column(2)
+            flat = cells.flatten()
+            kind, start_at, end_at = (pc.struct_field(flat, f).to_pylist() for f in ("kind", "start_at", "end_at"))
+            at = 0
+            for doc, text, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.list_value_length(cells).to_pylist()):
+                mine = range(at, at + (size or 0))
+                at += size or 0
+                if not text:
                     continue
-                for cell in cells:
-                    if not cell or cell["kind"] != "text" or cell["start_at"] is None or cell["end_at"] is None:
+                for k in mine:
+                    if kind[k] != "text" or start_at[k] is None or end_at[k] is None:
                         continue
-                    a, b = max(0, cell["start_at"]), min(len(text), cell["end_at"])
+                    a, b = max(0, start_at[k]), min(len(text), end_at[k])
                     if a >= b:
                         continue
                     prose, whole_lang = text[a:b], None
