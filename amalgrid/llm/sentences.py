@@ -194,7 +194,7 @@ class Model:
         abbr = t in self.abbr.get(lang, none) or (tail != t and tail in self.abbr.get(lang, none))
         lower_seen, inner_seen = n in self.lower.get(lang, none), n in self.inner.get(lang, none)
         starts = c.isupper() and lower_seen and not inner_seen
-        if f"{t}\t{n}" in self.pair.get(lang, none) and not (starts and t == "#"):
+        if f"{t}\t{n}" in self.pair.get(lang, none) and not starts:
             return False
         if abbr:
             return (starts or (c.isupper() and n in self.start.get(lang, none))) and not (initial and not starts)
@@ -450,11 +450,18 @@ def _count_contexts(abbr: dict[str, set[str]]):
                 first[lang, words[0]] += 1
                 if lang in ("th", "lo"):
                     continue
-                for stop in boundaries(s, lang, model, lambda token, following, lang=lang: pairs.update(((lang, token, following),))):
+
+                def on_period(token: str, following: str, lang: str = lang) -> None:
+                    pairs[lang, token, following] += 1
+                    # What follows a period of whatever kind stands neither at a start nor within for sure.
+                    first[lang, following] += 1
+
+                for stop in boundaries(s, lang, model, on_period):
                     if stop >= len(s) or not (m := _TOKEN.search(s, stop)):
                         continue
                     token = m[0]
-                    first[lang, token] += 1
+                    if s[stop - 1] != ".":
+                        first[lang, token] += 1
                     # After a number or an initial a break is not sure enough to learn from.
                     before = s[max(0, stop - 60) : stop].split()
                     if (t := word_type(token)) and before and not _seen(before[-1])[3]:
