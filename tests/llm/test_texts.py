@@ -82,7 +82,7 @@ def test_learns_from_the_corpus(spark):
     kind = "array<struct<kind:string,exec_count:int,start_at:int,end_at:int>>"
     rows, want = [], {}
     for d in range(120):
-        parts = [r.choice([f"Qz. {name()} saw the list.", f"The list of {name()} is long.", f"We took approx. {d} of the rows.", "However, it is the end.", "Their rows end here and the list is long too."]) for _ in range(6)]
+        parts = [r.choice([f"Qz. {name()} saw the list.", f"The list of {name()} is long.", f"We took approx. {d} of the rows.", "However, it is the end.", "However, long rows and an end are said to be on the list."]) for _ in range(6)]
         text = "head\n" + " ".join(parts) + "\ncode. Here. There."
         end = 5 + len(" ".join(parts))
         rows.append((d, text, [("text", None, 5, end), ("code", 1, end + 1, len(text))]))
