@@ -87,12 +87,12 @@ def test_learns_from_the_corpus(spark):
         end = 5 + len(" ".join(parts))
         rows.append((d, text, [("text", None, 5, end), ("code", 1, end + 1, len(text))]))
         want[d] = parts
-    extra = [(900, None, None), (901, "", []), (902, "x. Y.", None), (903, "Hi. Yo.", [("text", None, 0, 99)]), (904, "Z" * 50_000, [("text", None, 0, 50_000), None])]
+    extra = [(900, None, None), (901, "", []), (902, "x. Y.", None), (903, "Clipped cell. Beyond end.", [("text", None, 0, 99)]), (904, "Z" * 50_000, [("text", None, 0, 50_000), None])]
     df = spark.createDataFrame(rows + extra, f"doc_id long, text string, cells {kind}")
     texts = {x[0]: x[1] for x in rows + extra}
     got = {}
     for row in sorted(split_corpus(df).collect()):
         got.setdefault(row.doc_id, []).append(texts[row.doc_id][row.start_at : row.end_at])
     assert {d: got[d] for d in want} == want
-    assert got[903] == ["Hi.", "Yo."] and len(got[904]) == 1 and not {900, 901, 902} & set(got)
+    assert got[903] == ["Clipped cell.", "Beyond end."] and len(got[904]) == 1 and not {900, 901, 902} & set(got)
     assert split_corpus(df.limit(0)).count() == 0
