@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from amalgrid.plans import records
+from amalgrid.plans import clusters, names, records, reports
 
-MODULES = [records]
+MODULES = [names, reports, clusters, records]
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return records.p1_found(spark, sf)
+    return names.probable_duplicates(spark, sf)

@@ -112,8 +112,8 @@ PROCESSED_RECORD = (
 
 
 class BrokenQuote(Exception):
-    def __init__(self, field: int, at: int):
-        self.field, self.at = field, at
+    def __init__(self, field: int, at: int, start: int | None = None):
+        self.field, self.at, self.start = field, at, at if start is None else start
 
 
 @dataclass
@@ -158,7 +158,7 @@ def _record(text: str, at: int, end: int, delim: str, line_end: bool) -> tuple[l
         field, stop = (_quoted(text, at, end, len(fields)) if text.startswith('"', at) and at < end else _bare(text, at, end, delim, line_end, len(fields)))
         if stop < end and not text.startswith(delim, stop):
             if not (line_end and (text[stop] == "\n" or text.startswith("\r\n", stop))):
-                raise BrokenQuote(len(fields), stop)
+                raise BrokenQuote(len(fields), stop, places[-1])
             fields.append(field)
             return fields, places, stop
         fields.append(field)
@@ -235,7 +235,8 @@ def parse_records(text: str | None, delim: str | None, layout: tuple[Field, ...]
             while 0 <= stop < end and not is_anchor(stop + 1):
                 stop = text.find("\n", stop + 1, end)
             stop = end if stop < 0 else stop
-            yield Parsed(at, stop, reason=QUOTING, field=layout[e.field].name if e.field < len(layout) else None, at=e.at)
+            # A quote left open runs into later records; its own place is then where it opened.
+            yield Parsed(at, stop, reason=QUOTING, field=layout[e.field].name if e.field < len(layout) else None, at=e.at if e.at <= stop else e.start)
         at = text.find("\n", stop, end) + 1 if 0 <= text.find("\n", stop, end) else end
 
 
