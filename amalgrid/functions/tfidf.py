@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from amalgrid.functions.text import col, title
+from amalgrid.session import cut
 
 
 def char_ngrams(c: Column | str, n: int = 3) -> Column:
@@ -36,14 +42,41 @@ def matrix_gib(rows: Column, cols: Column, bytes_each: int) -> Column:
 
 def tfidf(names: DataFrame, id_col: str = "idx", name_col: str = "company") -> DataFrame:
     """(idx, gram, df, weight): term counts times ln((1+N)/(1+df))+1, each name's weights of length 1. Null names have none."""
-    base = names.filter(F.col(name_col).isNotNull()).select(F.col(id_col).alias("idx"), name_grams(name_col).alias("g")).filter(F.size("g") > 0)
-    tf = base.select("idx", F.explode("g").alias("gram")).groupBy("idx", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    # The text is a column of its own: written into the grams' lambda it would be made again for every gram.
+    base = names.filter(F.col(name_col).isNotNull()).select(F.col(id_col).alias("idx"), gram_text(name_col).alias("_s")).filter(F.length("_s") > 2)
+    tf = base.select("idx", F.explode(char_ngrams("_s")).alias("gram")).groupBy("idx", "gram").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     total = base.agg(F.count(F.lit(1)).alias("n"))
     raw = tf.join(df, "gram").crossJoin(F.broadcast(total)).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     return raw.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("idx")))).select("idx", "gram", "df", "weight")
 
 
+def _above(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(idx1, idx2, g1, w1, g2, w2) -> the pairs above the threshold with their full dot product, batch-wise."""
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            grams, weights, owner = [], [], []
+            for g, w in (("g1", "w1"), ("g2", "w2")):
+                sizes = pc.list_value_length(batch.column(g)).to_numpy(zero_copy_only=False).astype(np.int64)
+                pair = np.repeat(np.arange(n, dtype=np.uint64), sizes)
+                # A gram of one pair and the same gram of another are two keys.
+                grams.append(batch.column(g).flatten().to_numpy().view(np.uint64) ^ (pair + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+                weights.append(batch.column(w).flatten().to_numpy())
+                owner.append(pair.astype(np.int64))
+            key, weight, pair = np.concatenate(grams), np.concatenate(weights), np.concatenate(owner)
+            order = np.argsort(key, kind="stable")
+            key, weight, pair = key[order], weight[order], pair[order]
+            met = np.nonzero((key[1:] == key[:-1]) & (pair[1:] == pair[:-1]))[0]
+            dot = np.bincount(pair[met], weights=weight[met] * weight[met + 1], minlength=n)
+            keep = pa.array(dot > threshold)
+            yield pa.RecordBatch.from_arrays([batch.column("idx1").filter(keep), batch.column("idx2").filter(keep), pa.array(dot[dot > threshold])], names=["idx1", "idx2", "similarity"])
+
+    return run
+
+
 def similar_pairs(names: DataFrame, threshold: float = 0.9, id_col: str = "idx", name_col: str = "company") -> DataFrame:
     """(idx1, idx2, similarity) of all pairs above the threshold, idx1 < idx2; equal names pair with 1.
 
@@ -54,14 +87,15 @@ def similar_pairs(names: DataFrame, threshold: float = 0.9, id_col: str = "idx",
     spelled = names.filter(F.col(name_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(name_col).alias("t"))
     distinct = spelled.groupBy("t").agg(F.min("i").alias("idx"))
     order = Window.partitionBy("idx").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
-    weights = tfidf(distinct.withColumnRenamed("t", "company"))
-    indexed = weights.withColumn("run", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(order))).filter(F.col("run") >= F.lit(threshold - 1e-9)).select("idx", "gram")
+    weights = cut(tfidf(distinct.withColumnRenamed("t", "company")))
+    indexed = weights.withColumn("run", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(order))).filter(F.col("run") >= F.lit(threshold - 1e-9)).select("idx", "gram", "run")
     a, b = indexed.alias("a"), indexed.alias("b")
-    met = a.join(b, F.expr("a.gram = b.gram and a.idx < b.idx")).select(F.col("a.idx").alias("idx1"), F.col("b.idx").alias("idx2")).distinct()
-    full = weights.groupBy("idx").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("m"))
-    left, right = full.select(F.col("idx").alias("idx1"), F.col("m").alias("m1")), full.select(F.col("idx").alias("idx2"), F.col("m").alias("m2"))
-    dot = F.aggregate(F.map_entries("m1"), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.col("m2")[e["key"]], F.lit(0.0)))
-    close = met.join(left, "idx1").join(right, "idx2").select("idx1", "idx2", dot.alias("similarity")).filter(F.col("similarity") > threshold)
+    # All that two names share is no rarer than their rarest shared gram, so the parts from there on bound the cosine.
+    meet = a.join(b, F.expr(f"a.gram = b.gram and a.idx < b.idx and a.run * b.run >= {threshold - 1e-9}D"))
+    met = meet.select(F.col("a.idx").alias("idx1"), F.col("b.idx").alias("idx2")).distinct()
+    full = weights.groupBy("idx").agg(F.collect_list(F.xxhash64("gram")).alias("g"), F.collect_list("weight").alias("w"))
+    left, right = full.select(F.col("idx").alias("idx1"), F.col("g").alias("g1"), F.col("w").alias("w1")), full.select(F.col("idx").alias("idx2"), F.col("g").alias("g2"), F.col("w").alias("w2"))
+    close = met.join(left, "idx1").join(right, "idx2").mapInArrow(_above(threshold), "idx1 long, idx2 long, similarity double")
     ids = spelled.join(distinct, "t").select("idx", "i")
     x, y = ids.select(F.col("idx").alias("idx1"), F.col("i").alias("x")), ids.select(F.col("idx").alias("idx2"), F.col("i").alias("y"))
     apart = close.join(x, "idx1").join(y, "idx2").select(F.least("x", "y").alias("idx1"), F.greatest("x", "y").alias("idx2"), "similarity")
