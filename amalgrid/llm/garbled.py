@@ -10,6 +10,7 @@ A hit is verified: its original has to be plausible, and another string.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -79,6 +80,24 @@ def garble(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     return s if s != text else None
 
 
+@lru_cache(maxsize=64)
+def _bytes_of(encoding: str) -> dict[str, int] | None:
+    table = _reading(encoding)
+    return {c: b for b, c in reversed(list(enumerate(table)))} if table else None
+
+
+def undone(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
+    """The text before the chain, where every step can be taken back; else None."""
+    for write, read in reversed(chain):
+        back = _bytes_of(read) if read not in ("utf-8", "ascii", "gbk", "big5", "shift_jis", "euc_jp", "euc_kr") else None
+        try:
+            raw = bytes(back[c] for c in text) if back else text.encode(read)
+            text = raw.decode(write)
+        except (KeyError, UnicodeError):
+            return None
+    return text
+
+
 _UGLY = regex.compile("[�\x00-\x08\x0e-\x1f\x7f-\x9f]|\\p{Co}|\\p{Cn}|[─-▟]")
 #: Unicode bytes read in a one-byte Western encoding: a lead byte and its continuations.
 _CONT = "[\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
@@ -306,7 +325,7 @@ def garbled_tokens(rows: DataFrame) -> DataFrame:
 def garbled_records(df: DataFrame, id_col: str = "record_id", name_col: str = "record_name") -> DataFrame:
     """(id, restored): each record with a garbled part, once per distinct name.
 
-    ``restored`` is the name with every garbled token replaced; null where one is lost. Null names and
+    ``restored`` is what ``restored_name`` makes of it; null where a token is lost. Null names and
     names without a non-ASCII character are never garbled.
     """
     rows = distinct_records(df, id_col, name_col)
@@ -315,8 +334,34 @@ def garbled_records(df: DataFrame, id_col: str = "record_id", name_col: str = "r
     parts = strange.select("id", "name", F.posexplode(F.split("name", _SPLIT)).alias("at", "token"))
     hit = parts.filter(F.col("token").rlike("[^\\x00-\\x7F]")).join(fixes, "token")
     # At most one row per token of a name: bounded by the name's own length.
-    swaps = hit.groupBy("id", "name").agg(F.map_from_entries(F.collect_set(F.struct("at", "original"))).alias("fix"))
-    words = F.split("name", _SPLIT)
-    fixed = F.transform(words, lambda w, i: F.when(F.map_contains_key("fix", i), F.col("fix")[i]).otherwise(w))
-    lost = F.exists(F.map_values("fix"), lambda v: v.isNull())
-    return swaps.select(F.col("id").alias(id_col), F.col("name").alias(name_col), F.when(~lost, F.array_join(fixed, " ")).alias("restored"))
+    found = hit.groupBy("id", "name").agg(F.to_json(F.collect_set(F.struct("at", "original", "chain")), {"ignoreNullFields": "false"}).alias("found"))
+
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("string")
+    def restore(names: pa.Array, parts: pa.Array) -> pa.Array:
+        return pa.array([restored_name(n, json.loads(f)) for n, f in zip(names.to_pylist(), parts.to_pylist())], pa.string())
+
+    return found.select(F.col("id").alias(id_col), F.col("name").alias(name_col), restore("name", "found").alias("restored"))
+
+
+def restored_name(name: str, found: list[dict]) -> str | None:
+    """The name with its garbled tokens replaced; null where one is lost.
+
+    A chain that one token went through took the whole name along: it is undone in the other non-ASCII
+    tokens too, where that gives a plausible word.
+    """
+    if any(f["original"] is None for f in found):
+        return None
+    tokens = regex.split(r"[ \t\r\n]+", name)
+    fixed = {f["at"]: f["original"] for f in found}
+    chains = {f["chain"] for f in found if f["chain"] is not None}
+    for at, token in enumerate(tokens):
+        if at in fixed or token.isascii():
+            continue
+        for k in sorted(chains):
+            original = undone(token, CHAINS[k])
+            if original is not None and original != token and plausible(original):
+                fixed[at] = original
+                break
+    return " ".join(fixed.get(at, token) for at, token in enumerate(tokens))

@@ -4,7 +4,7 @@ import pytest
 
 from amalgrid.llm.garbled import CHAINS, garble, garbled_records, plausible
 
-CLEAN = ["Müller Bäckerei Zürich", "Jörg Straße GmbH", "ООО Ромашка Торг", "Łódź Société Générale", "Plain Name Ltd", "Acme™ Tools", "株式会社 タナカ"]
+CLEAN = ["Müller Bäckerei Zürich", "Jörg Straße GmbH", "ООО Ромашка Торг", "Łódź Société Générale", "Plain Name Ltd", "Acme™ Tools", "ООО Ромашка Строй", "ООО Ландыш Торг", "株式会社 タナカ"]
 
 
 @pytest.mark.parametrize("word, chain", [("Müller", (("utf-8", "cp1252"),)), ("Jörg", (("utf-8", "latin-1"),)), ("Straße", (("utf-8", "cp437"),)), ("Générale", (("utf-8", "cp1252"),) * 2), ("Ромашка", (("cp1251", "cp1252"),)), ("株式会社", (("euc_jp", "latin-1"),))])
@@ -19,14 +19,15 @@ def test_finds_planted_forms(spark):
         (100, "MÃ¼ller Bäckerei ZÃ¼rich", "Müller Bäckerei Zürich"),
         (101, "JÃ¶rg StraÃŸe GmbH", "Jörg Straße GmbH"),
         (102, garble("Ромашка", (("cp1251", "cp1252"),)) + " Ltd", "Ромашка Ltd"),
+        (106, " ".join(garble(w, (("koi8-r", "cp1251"),)) for w in ("ООО", "Верин", "Торг")), "ООО Верин Торг"),
         (103, "Fooâ„¢ Tools", "Foo™ Tools"),
         (104, "Lost � Name", None),
         (105, "mÃ¼ller".upper() + " AG", None),
     ]
     df = spark.createDataFrame(rows + [(i, n) for i, n, _ in planted] + [(200, None), (201, ""), (202, "x" * 20_000)], "record_id long, record_name string")
     got = {r.record_id: r.restored for r in garbled_records(df).collect()}
-    assert set(got) == {100, 101, 102, 103, 104, 105}
-    for i, _, want in planted[:5]:
+    assert set(got) == {100, 101, 102, 103, 104, 105, 106}
+    for i, _, want in planted[:6]:
         assert got[i] == want
 
 
