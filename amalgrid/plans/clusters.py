@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from amalgrid.operators import graph
+from amalgrid.operators import graph, tables
 from amalgrid.session import cut, table
 
 _all: dict[str, tuple[Callable, str | None]] = {}
@@ -73,7 +73,7 @@ def cluster_quality(spark, sf):
     return graph.cluster_metrics(cut(graph.dbscan(nodes, pairs)), pairs).withColumn("avg_similarity", F.round("avg_similarity", 9))
 
 
-@query(_DB.rstrip() + _IN_PAIRS + """SELECT count(*) FILTER (WHERE cluster_id >= 0) AS n_clusters, coalesce(sum(size) FILTER (WHERE cluster_id = -1), 0) AS n_noise, round(coalesce(sum(size) FILTER (WHERE cluster_id = -1), 0) / sum(size), 9) AS noise_ratio,
+@query(_DB.rstrip() + _IN_PAIRS + """SELECT count(*) FILTER (WHERE cluster_id >= 0) AS n_clusters, coalesce(sum(size) FILTER (WHERE cluster_id = -1), 0)::BIGINT AS n_noise, round(coalesce(sum(size) FILTER (WHERE cluster_id = -1), 0) / sum(size), 9) AS noise_ratio,
   round(avg(size) FILTER (WHERE cluster_id >= 0), 9) AS mean_size, quantile_cont(size, 0.5) FILTER (WHERE cluster_id >= 0) AS median_size, min(size) FILTER (WHERE cluster_id >= 0) AS min_size, max(size) FILTER (WHERE cluster_id >= 0) AS max_size FROM sizes""")
 def cluster_sizes(spark, sf):
     nodes, pairs = _inputs(spark, sf)
@@ -98,6 +98,16 @@ def cluster_silhouette(spark, sf):
     return graph.silhouette(cut(graph.dbscan(nodes, pairs)), pairs).withColumn("silhouette", F.round("silhouette", 9))
 
 
+@query(_DB.rstrip() + """, big AS (SELECT cluster_id, count(*) AS size FROM labels WHERE cluster_id >= 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)
+SELECT cluster_id, size, rank, idx FROM (SELECT l.cluster_id, size, l.idx, row_number() OVER (PARTITION BY l.cluster_id ORDER BY l.idx) AS rank FROM labels l JOIN big USING (cluster_id)) WHERE rank <= 5""")
+def largest_clusters(spark, sf):
+    """The ten largest clusters with their first five members."""
+    nodes, pairs = _inputs(spark, sf)
+    labels = cut(graph.dbscan(nodes, pairs).filter("cluster_id >= 0"))
+    big = labels.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "cluster_id").limit(10)
+    return tables.top_n(labels.join(big, "cluster_id"), ["cluster_id"], [F.col("idx")], 5).select("cluster_id", "size", "rank", "idx")
+
+
 @query()
 def bottom_up_clusters(spark, sf):
     nodes, pairs = _inputs(spark, sf)

@@ -162,6 +162,34 @@ def pair_names(spark, sf):
     return corpus(spark, sf).select("record_id", pairnames.company_name("record_name").alias("name"), pairnames.core_name("record_name").alias("core"), pairnames.name_tokens("record_name").alias("tokens"), pairnames.first_letter("record_name").alias("letter"))
 
 
+@query(_CLEAN + "SELECT record_id, CASE WHEN norm = '' THEN 'unknown' ELSE type_hint END AS gliner_type, CASE WHEN norm = '' THEN 0 ELSE 1 END::DOUBLE AS gliner_confidence FROM clean")
+def rule_types(spark, sf):
+    from amalgrid.operators.learning import classify_by_rules
+
+    return classify_by_rules(sanitise_names(spark, sf)).select("record_id", "gliner_type", "gliner_confidence")
+
+
+@query(f"WITH corpus AS ({CORPUS}) SELECT record_id, 'Classify the following: ' || record_name AS neutral, record_name || ' could be a company name, person''s name, address, financial instrument, or other type of entity.' AS explicit, 'Entity: ' || record_name AS minimal, record_name AS plain FROM corpus")
+def model_prompts(spark, sf):
+    from amalgrid.operators.learning import prompt
+
+    return corpus(spark, sf).select("record_id", *[prompt("record_name", s).alias("plain" if s == "none" else s) for s in ("neutral", "explicit", "minimal", "none")])
+
+
+@query()
+def legacy_sanitiser(spark, sf):
+    """The older cascade over the delivered names."""
+    names = table(spark, sf, "processed_records").select("record_id", "record_name").distinct()
+    return names.select("record_id", rules.clean_name("record_name", rules.LEGACY_RULES).alias("clean_name"))
+
+
+@query()
+def sequence_ratios(spark, sf):
+    """How alike each stored name and its display form are by longest matching blocks."""
+    names = table(spark, sf, "processed_records").select("record_id", "record_name", "display_name").distinct()
+    return names.select("record_id", similarity.sequence_ratio(F.col("record_name"), F.col("display_name")).alias("ratio"))
+
+
 # --- similarities --------------------------------------------------------------------------------
 
 _PAIRS = f"""
@@ -300,6 +328,6 @@ def tfidf_match_lists(spark, sf):
     return tfidf.match_lists(tfidf_pairs(spark, sf))
 
 
-@query("SELECT n_nationkey, (n_nationkey * 1000.0) * 2000.0 * 8 / 1073741824 AS gib FROM nation")
+@query("SELECT n_nationkey, n_nationkey::DOUBLE * 1000 * 2000 * 8 / 1073741824 AS gib FROM nation")
 def matrix_memory(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", tfidf.matrix_gib(F.col("n_nationkey") * 1000, F.lit(2000), 8).alias("gib"))

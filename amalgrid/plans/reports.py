@@ -204,7 +204,7 @@ def continued_record_ids(spark, sf):
     return tables.continued_ids(table(spark, sf, "raw_records"), "line_id", table(spark, sf, "processed_records"), "record_id")
 
 
-@query("SELECT floor((rn - 1) / 500) AS batch, min(record_id) AS start_id, max(record_id) AS end_id, count(*) AS n FROM (SELECT record_id, row_number() OVER (ORDER BY record_id) AS rn FROM (SELECT DISTINCT record_id FROM processed_records WHERE record_id IS NOT NULL)) GROUP BY 1")
+@query("SELECT ((rn - 1) // 500)::BIGINT AS batch, min(record_id) AS start_id, max(record_id) AS end_id, count(*) AS n FROM (SELECT record_id, row_number() OVER (ORDER BY record_id) AS rn FROM (SELECT DISTINCT record_id FROM processed_records WHERE record_id IS NOT NULL)) GROUP BY 1")
 def batch_bounds(spark, sf):
     return tables.batch_plan(table(spark, sf, "processed_records"), "record_id", 500)
 
@@ -257,3 +257,20 @@ def split_label_shares(spark, sf):
     rows = learning.stratified_split(learning.load_pairs(table(spark, sf, "labelled_pairs"))).filter("part = 'test'")
     n = rows.agg(F.count(F.lit(1)).alias("n"))
     return rows.groupBy("label").agg(F.count(F.lit(1)).alias("k")).crossJoin(F.broadcast(n)).select("label", F.round(F.col("k") / F.col("n"), 1).alias("share"))
+
+
+@query()
+def pair_model_metrics(spark, sf):
+    """Test metrics of a boosted classifier trained on the labelled pairs."""
+    return learning.train_and_evaluate(table(spark, sf, "labelled_pairs"), rounds=10)[1]
+
+
+@query()
+def feature_components(spark, sf):
+    """The scored pairs' features projected on their first two principal components."""
+    from pyspark.ml.functions import vector_to_array
+
+    features = ["levenshtein", "jaccard", "cosine", "hamming", "damerau_levenshtein", "editex"]
+    rows = table(spark, sf, "pairwise_predictions").dropna(subset=features)
+    made = learning.principal_components(rows, features)[1].withColumn("pcs", vector_to_array("pcs"))
+    return made.select("idx1", "idx2", F.col("pcs")[0].alias("pc1"), F.col("pcs")[1].alias("pc2"))

@@ -65,9 +65,30 @@ def write_names(df: DataFrame, name: str, path: str) -> None:
     df.select(name).filter(F.col(name).isNotNull()).distinct().write.mode("overwrite").text(path)
 
 
-# The toolkit's own example pairs, simple and hard.
-EXAMPLE_PAIRS = (("Delta Airlines", "Delta Air Lines", 1), ("Delta Corp", "Delta Airlines", 0), ("Microsoft Corporation", "Microsoft Corp", 1), ("Random Corp", "Microsoft Corp", 0))
-
-
-def example_pairs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXAMPLE_PAIRS, "company1 string, company2 string, label int")
+# Example pairs for training, simple and hard: name, name, label.
+SIMPLE_PAIRS = (
+    ("Microsoft Corporation", "Microsoft Corp", 1),
+    ("Apple Inc", "Apple Incorporated", 1),
+    ("Google LLC", "Google", 1),
+    ("Amazon.com Inc", "Amazon", 1),
+    ("Tesla Inc", "Tesla Motors", 1),
+    ("Meta Platforms", "Facebook Inc", 1),
+    ("Netflix Inc", "Netflix", 1),
+    ("Adobe Inc", "Adobe Systems", 1),
+    ("Microsoft", "Apple Inc", 0),
+    ("Apple", "Google LLC", 0),
+    ("Random Corp", "Microsoft Corp", 0),
+    ("Different Company", "Amazon.com", 0),
+)
+HARD_PAIRS = (
+    ("Delta Airlines", "Delta Air Lines", 1),
+    ("Bank of America", "Bank of America Corp", 1),
+    ("Ford Motor Company", "Ford Motor Co", 1),
+    ("Delta Corp", "Delta Airlines", 0),
+    ("American Bank", "Bank of America", 0),
+    ("Ford Motors India", "Ford Motor Company", 0),
+)
+
+
+def example_pairs(spark: SparkSession, hard: bool = False) -> DataFrame:
+    return spark.createDataFrame(HARD_PAIRS if hard else SIMPLE_PAIRS, "company1 string, company2 string, label int")
