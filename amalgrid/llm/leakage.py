@@ -190,6 +190,22 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _indexes(items: DataFrame, words: int, signs: int, radius: int, most: int) -> Iterator[tuple[Index, Index]]:
+    """Word and sign indexes of at most about ``most`` windows; the driver holds one pair at a time."""
+    hashes, pair, held = Hashes(), None, 0
+    for item, text in items.select("item_id", "item_text").filter("item_id is not null and item_text is not null").distinct().toLocalIterator():
+        w, s = sequences(text, hashes)
+        pair = pair or (Index(words, radius), Index(signs, radius))
+        pair[0].add(item, w)
+        pair[1].add(item, s)
+        held += len(w) + len(s)
+        if held > most:
+            yield pair
+            pair, held = None, 0
+    if pair:
+        yield pair
+
+
 def leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, signs: int = SIGNS, radius: int = RADIUS, index_windows: int = INDEX_WINDOWS) -> DataFrame:
     """(doc_id, item_id): every document and item that share a passage, once.
 
@@ -198,20 +214,9 @@ def leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, signs: int = SI
     Documents are scanned once a pass without a shuffle. Null and empty texts, on either side, leak nothing.
     """
     spark = docs.sparkSession
-    hashes = Hashes()
-    passes: list[tuple[Index, Index]] = []
-    held = index_windows + 1
-    for row in items.select("item_id", "item_text").filter("item_id is not null and item_text is not null").distinct().toLocalIterator():
-        w, s = sequences(row[1], hashes)
-        if held > index_windows:
-            passes.append((Index(words, radius), Index(signs, radius)))
-            held = 0
-        passes[-1][0].add(row[0], w)
-        passes[-1][1].add(row[0], s)
-        held += len(w) + len(s)
     source = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
     out = None
-    for pair in passes:
+    for pair in _indexes(items, words, signs, radius, index_windows):
         shared = spark.sparkContext.broadcast([x.close() for x in pair])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
