@@ -1,11 +1,10 @@
 """Variant spellings of typed names: trie join, then token alignment in any order.
 
 Names become words in one form (look-alikes home, accents off, digits read as letters inside words).
-Distinct word lists, not rows, go on. The vocabulary is joined with itself first: words are sharded by
-the half that one edit must leave intact, each shard is a trie, and a Levenshtein automaton walks it for
-each word's neighbours. Then names are sharded by a rare word (and by its neighbours), the partner words
-of a shard form a trie, and the automaton enumerates partners within two edits. What meets is checked
-word by word in every order: typing errors, short forms, nicknames, initials and cut ends may differ;
+Distinct word lists, not rows, go on. The vocabulary is joined with itself first: words that share a rest
+after deletions, short forms, nicknames, initials, joined words and cut ends give, for each word, all keys
+that can stand for it. Then each name looks up the names that hold a key of one of its words, which any
+match must cover. What meets is checked word by word in every order: typing errors, short forms, nicknames, initials and cut ends may differ;
 numbers, places, trades and given names may not. Equal spellings and links form groups, whose pairs are
 returned unless two of their words contradict each other.
 """
@@ -18,7 +17,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amalgrid.llm.components import connected
@@ -29,8 +28,8 @@ from amalgrid.session import cut
 
 #: A word of at least so many distinct names is an established one (trade, place, given name, legal form).
 ESTABLISHED = 12
-#: Rare words of a name that serve as shards.
-RARE = 4
+#: A word that more names than this can cover is looked up together with a second one.
+HOT = 2000
 
 # Legal forms and words that tell no entities apart.
 LEGAL = frozenset(
@@ -155,6 +154,9 @@ def edits(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    # An edit changes the letters in use by two at most.
+    if len(set(a) ^ set(b)) > 2 * most:
+        return most + 1
     before: list[int] = []
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -298,81 +300,144 @@ class Align:
 # --- operator ---------------------------------------------------------------------------------
 
 
-def _halves(word: str) -> list[str]:
-    """Shards of a word: one edit leaves the first or the last half of the shorter word intact."""
-    n = len(word)
-    out = []
-    for half in {n // 2, (n - 1) // 2}:
-        if half >= 2:
-            out += [f"<{half}{word[:half]}", f">{half}{word[-half:]}"]
-    return out
+def _deletions(word: str, n: int, established: int) -> list[str]:
+    """Keys of which words within the edits ``Align.same`` allows share one: the word without up to so many letters."""
+    wide = ord(word[0]) > 0x2E7F
+    if word[0].isdigit() or len(word) < (5 if wide else 4):
+        return []
 
+    def without(words: set[str]) -> set[str]:
+        return {w[:i] + w[i + 1 :] for w in words for i in range(len(w))}
 
-def _near_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, word) sorted by shard -> (word, near) within one edit, both ways, one shard at a time."""
+    out = {word} | (once := without({word}))
+    if len(word) >= 7 and not wide and n < established:
+        out |= without(once)
+    if "rn" in word:
+        out |= {m := word.replace("rn", "m")} | without({m})
+    return list(out)
 
-    def close(words: list[str]) -> None:
-        if len(words) > 1:
-            trie = build_trie(words)
-            for w in words:
-                for v in within(trie, w, 1):
-                    if v != w:
-                        left.append(w)
-                        right.append(v)
 
-    left: list[str] = []
-    right: list[str] = []
-    shard, words = None, []
-    for batch in batches:
-        for s, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if s != shard:
-                close(words)
-                shard, words = s, []
-            words.append(w)
-        if len(left) > 100_000:
+def _probes(spell: str) -> list[str]:
+    """Words of a name that any match must cover; if no word is sure to need that, all of them."""
+    align, words = Align(1), spell.split(" ")
+    core, last = align.core(words), words[-1]
+    long = sum(map(len, words)) >= 14
+    sure = [w for w in core if len(w) > 1 and not w[0].isdigit() and w not in INSTITUTIONS and not (long and w == last) and not align.droppable(w, w == last)]
+    return [f"!{w}" for w in sure] or core
+
+
+def _alike(established: int):
+    """Rows (a, b, n_a, n_b) of words -> (word, near), both ways, of those that can stand for each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        align = Align(established)
+        for batch in batches:
+            left, right = [], []
+            for a, b, m, n in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                align.counts = {a: m, b: n}
+                if align.same(a, b, 1 if align.known(a) or align.known(b) else 2) is not None:
+                    left += (a, b)
+                    right += (b, a)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], names=["word", "near"])
-            left.clear()
-            right.clear()
-    close(words)
-    yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], names=["word", "near"])
-
-
-def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, own, word, partner) sorted by shard -> pairs of (word, partner) whose partners are close."""
-    out: tuple[list, list, list, list] = ([], [], [], [])
-
-    def close(rows: list[tuple[bool, str, str]]) -> None:
-        mine = {p for own, _, p in rows if own}
-        if not mine or len(rows) < 2:
-            return
-        trie = build_trie(mine)
-        for own, w, p in rows:
-            if not p:
-                hits = [p] if p in mine else []
-            else:
-                hits = [q for q in within(trie, p, (2 if len(p) >= 7 else 1) if own else 1) if q]
-            for q in hits:
-                if (w, p) != (shard, q):
-                    for c, v in zip(out, (w, p, shard, q)):
-                        c.append(v)
-
-    def batch_out() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in out], names=["w1", "p1", "w2", "p2"])
-        for c in out:
-            c.clear()
-        return made
-
-    shard, rows = None, []
+
+    return run
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (w, u, v) whose w is u and v without a blank, within one edit."""
     for batch in batches:
-        for s, own, w, p in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if s != shard:
-                close(rows)
-                shard, rows = s, []
-            rows.append((own, w, p))
-        if len(out[0]) > 100_000:
-            yield batch_out()
-    close(rows)
-    yield batch_out()
+        keep = [edits(w, u + v, 1) <= 1 for w, u, v in zip(*(batch.column(k).to_pylist() for k in range(3)))]
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _halves(c: Column) -> Column:
+    """Shards of a word: one edit leaves the first or the last half of the shorter word intact."""
+    n = F.length(c)
+    out = [F.xxhash64(F.lit(side), half, F.left(c, half) if side == "<" else F.right(c, half)) for half in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")) for side in "<>"]
+    return F.array_distinct(F.array(*out))
+
+
+def ways(lists: DataFrame, counts: DataFrame, established: int) -> tuple[DataFrame, DataFrame]:
+    """(covers, index): (word, key) of all keys that can cover a word, and (key, h) of the keys each list offers.
+
+    ``lists(h, spell, ws)``, ``counts(word, n)``. A key is a word, a joined word, or a name's last word (behind
+    a tab), which may be a word cut off. Whatever ``Align.match`` lets stand for a word of one name is a key of the other.
+    """
+    from pyspark.sql.functions import arrow_udf
+
+    spark = lists.sparkSession
+    ignored = F.array(*[F.lit(w) for w in sorted(LEGAL | FILLERS)])
+    core = F.filter("ws", lambda w: ~F.array_contains(ignored, w))
+
+    @arrow_udf("array<string>")
+    def deletions(words: pa.Array, n: pa.Array) -> pa.Array:
+        return pa.array([_deletions(w, k, established) for w, k in zip(words.to_pylist(), n.to_pylist())], pa.list_(pa.string()))
+
+    words = counts.filter(~F.array_contains(ignored, F.col("word")))
+    known = words.filter(F.col("n") >= established).filter(F.length("word") > 1)
+    # Typing errors: a shared rest after deletions. Short forms: the letters of an established word with the same first one.
+    typed = words.select("word", "n", F.explode(deletions("word", F.col("n").cast("long"))).alias("key")).select("word", "n", F.xxhash64("key").alias("key"), F.length("word").alias("l"))
+    typed = cut(typed)
+    close = typed.alias("x").join(typed.alias("y"), F.expr("x.key = y.key and x.word < y.word and abs(x.l - y.l) <= 3")).selectExpr("x.word a", "y.word b", "x.n m", "y.n n").distinct()
+    # Letters left out: as many edits as letters.
+    short = words.alias("x").join(F.broadcast(known).alias("y"), F.expr("left(x.word, 1) = left(y.word, 1) and length(x.word) between 2 and length(y.word) - 1 and (length(x.word) >= 3 and startswith(y.word, x.word) or length(x.word) <= 0.7 * length(y.word) + 1 and (right(x.word, 1) = right(y.word, 1) or length(x.word) >= 4) and levenshtein(x.word, y.word) = length(y.word) - length(x.word))"))
+    near = close.mapInArrow(_alike(established), "word string, near string")
+    near = near.unionByName(short.selectExpr("x.word", "y.word near")).unionByName(short.selectExpr("y.word", "x.word near"))
+    fixed = {(a, b) for g in NICKNAMES for a in g for b in g if a != b} | set(SHORT_FORMS.items()) | {(b, a) for a, b in SHORT_FORMS.items()}
+    near = near.unionByName(spark.createDataFrame(sorted(fixed), "word string, near string"))
+    initial = F.left("word", F.lit(1))
+    near = near.unionByName(known.select("word", initial.alias("near"))).unionByName(known.select(initial.alias("word"), F.col("word").alias("near")))
+    # A blank lost or gained, between any two words of a name.
+    at = lists.select("h", F.posexplode(core).alias("i", "u"))
+    two = cut(at.join(at.select("h", F.col("i").alias("j"), F.col("u").alias("v")), "h").filter("i <> j and length(u) + length(v) >= 6").select("h", "u", "v").distinct())
+    half = words.filter(F.length("word") >= 5).select("word", F.explode(_halves(F.col("word"))).alias("half"), F.length("word").alias("l"))
+    joins = two.select("u", "v").distinct().withColumn("half", F.explode(_halves(F.concat("u", "v"))))
+    joins = joins.join(half, "half").filter("abs(l - length(u) - length(v)) <= 1").select("word", "u", "v").distinct()
+    joins = cut(joins.mapInArrow(_joined, "word string, u string, v string"))
+    parts = joins.select(F.explode(F.array("u", "v")).alias("word"), F.col("word").alias("near"))
+    # A last word may be the start of a word.
+    lasts = lists.filter(F.aggregate("ws", F.lit(0), lambda n, w: n + F.length(w)) >= 14).select("h", F.element_at("ws", -1).alias("word")).filter(~F.array_contains(ignored, F.col("word")))
+    starts = words.filter(F.length("word") > 1).select("word", F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("k")).select("word", F.expr("left(word, k)").alias("last"))
+    ends = starts.join(lasts.select(F.col("word").alias("last")).distinct(), "last")
+    cuts = ends.select("word", F.concat(F.lit("\t"), "last").alias("near"))
+    only = lists.select(F.explode(probe_words(F.col("spell"))).alias("last")).filter("not startswith(last, '!')").distinct()
+    cuts = cuts.unionByName(ends.join(only, "last").select(F.col("last").alias("word"), F.col("word").alias("near")))
+    covers = words.select("word", F.col("word").alias("near")).unionByName(near).unionByName(parts).unionByName(cuts).withColumnRenamed("near", "key").distinct()
+    index = at.select(F.col("u").alias("key"), "h").unionByName(two.join(joins, ["u", "v"]).select(F.col("word").alias("key"), "h")).unionByName(lasts.select(F.concat(F.lit("\t"), "word").alias("key"), "h")).distinct()
+    return cut(covers), cut(index)
+
+
+def candidate_pairs(lists: DataFrame, counts: DataFrame, established: int, hot: int = HOT) -> DataFrame:
+    """(ha, hb), ha < hb: all pairs of lists that ``Align.match`` may accept.
+
+    A match covers every word of both names but legal forms and cut ends. So each list looks up one word that must
+    be covered, the one that the fewest lists can cover; where more than ``hot`` can, a second word must be covered too.
+    A list without such a word looks up all its words.
+    """
+    covers, index = ways(lists, counts, established)
+    sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    cost = cut(covers.join(sizes, "key").groupBy("word").agg(F.sum("m").alias("cost")))
+    probes = lists.select("h", F.explode(probe_words(F.col("spell"))).alias("p")).select("h", F.expr("startswith(p, '!') and p <> '!'").alias("sure"), F.regexp_replace("p", "^!", "").alias("word"))
+    probes = probes.join(cost, "word").groupBy("h", "sure").agg(F.array_sort(F.collect_set(F.struct("cost", "word"))).alias("r"))
+    probes = cut(probes.withColumn("two", F.expr(f"sure and size(r) > 1 and r[0].cost > {hot}")))
+    single = probes.filter("not two").select("h", F.explode(F.when(F.col("sure"), F.slice("r", 1, 1)).otherwise(F.col("r"))).alias("x")).select("h", F.col("x.word").alias("word"))
+    found = single.join(covers, "word").select("h", "key").join(index.withColumnRenamed("h", "other"), "key").select("h", "other")
+    double = probes.filter("two").select("h", F.expr("r[0].word").alias("w1"), F.expr("r[1].word").alias("w2"))
+    wanted = double.select("w1", "w2").distinct()
+    able = [wanted.select(F.col(w).alias("word")).distinct().join(covers, "word").join(index, "key").select(F.col("word").alias(w), F.col("h").alias("other")).distinct() for w in ("w1", "w2")]
+    both = able[0].join(able[1], "other").join(wanted, ["w1", "w2"], "left_semi")
+    found = found.unionByName(double.join(both, ["w1", "w2"]).select("h", "other"))
+    return found.filter("h <> other").select(F.least("h", "other").alias("ha"), F.greatest("h", "other").alias("hb")).distinct()
+
+
+def probe_words(spell: Column) -> Column:
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("array<string>")
+    def probes(spells: pa.Array) -> pa.Array:
+        return pa.array([_probes(s) for s in spells.to_pylist()], pa.list_(pa.string()))
+
+    return probes(spell)
 
 
 def _checked(established: int, contradiction: bool):
@@ -405,33 +470,9 @@ def variant_pairs(df: DataFrame, id_col: str = "internal_id", name_col: str = "n
     lists = cut(rows.select("spell").distinct().withColumn("h", F.xxhash64("spell")).withColumn("ws", parts))
     counts = lists.select(F.explode(F.array_distinct("ws")).alias("word"), F.array_sort("ws").alias("k")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = cut(counts)
-    near = counts.filter(F.length("word") >= 5).filter(~F.col("word").rlike("^[0-9p]+$")).select("word")
-    from pyspark.sql.functions import arrow_udf
-
-    @arrow_udf("array<string>")
-    def halves(values: pa.Array) -> pa.Array:
-        return pa.array([_halves(v) for v in values.to_pylist()], pa.list_(pa.string()))
-
-    shards = near.select(F.explode(halves("word")).alias("shard"), "word").repartition("shard").sortWithinPartitions("shard")
-    near = cut(shards.mapInArrow(_near_words, "word string, near string").distinct())
-    # The rare words of each list, rarest first; established ones serve as shards only where too few rarer are left.
-    ignored = F.array(*[F.lit(w) for w in sorted(LEGAL | FILLERS)])
-    core = F.filter("ws", lambda w: ~F.array_contains(ignored, w) & (F.length(w) > 1))
-    useful = lists.select("h", "spell", "ws", F.explode(F.array_distinct("ws")).alias("word")).join(counts, "word").groupBy("h", "spell").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("m"))
-    useful = cut(useful.withColumn("ws", parts).select("h", "spell", F.transform("ws", lambda w: F.col("m")[w].cast("int")).alias("cs"), F.array_sort(F.transform(F.array_distinct(F.when(F.size(core) > 0, core).otherwise(F.col("ws"))), lambda w: F.struct(F.col("m")[w].alias("n"), w.alias("word")))).alias("r")))
-    ranked = useful.select("h", F.slice("r", 1, RARE).alias("r"), F.greatest(F.lit(2), F.size(F.filter(F.slice("r", 1, RARE), lambda x: x["n"] < established))).alias("k"))
-    ranked = ranked.select("h", F.transform("r", lambda x: x["word"]).alias("r"), "k")
-    pairs = ranked.select("h", F.explode(F.slice("r", F.lit(1), F.col("k"))).alias("word"), "r").select("h", "word", F.explode(F.when(F.size("r") > 1, F.array_remove(F.col("r"), F.col("word"))).otherwise(F.array(F.lit("")))).alias("partner"))
-    pairs = cut(pairs)
-    distinct = pairs.select("word", "partner").distinct()
-    own = distinct.select(F.col("word").alias("shard"), F.lit(True).alias("own"), "word", "partner")
-    guests = distinct.join(near, "word").select(F.col("near").alias("shard"), F.lit(False).alias("own"), "word", "partner")
-    meet = own.unionByName(guests).repartition("shard").sortWithinPartitions("shard").mapInArrow(_partners, "w1 string, p1 string, w2 string, p2 string")
-    meet = meet.unionByName(distinct.select(F.col("word").alias("w1"), F.col("partner").alias("p1"), F.col("word").alias("w2"), F.col("partner").alias("p2"))).distinct()
-    a = pairs.select(F.col("word").alias("w1"), F.col("partner").alias("p1"), F.col("h").alias("ha"))
-    b = pairs.select(F.col("word").alias("w2"), F.col("partner").alias("p2"), F.col("h").alias("hb"))
-    candidates = meet.join(a, ["w1", "p1"]).join(b, ["w2", "p2"]).select(F.least("ha", "hb").alias("ha"), F.greatest("ha", "hb").alias("hb")).filter("ha <> hb").distinct()
-    texts = useful.select("h", "spell", "cs")
+    candidates = candidate_pairs(lists, counts, established)
+    numbers = lists.select("h", "spell", F.explode(F.array_distinct("ws")).alias("word")).join(counts, "word").groupBy("h", "spell").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("m"))
+    texts = cut(numbers.select("h", "spell", F.transform(parts, lambda w: F.col("m")[w].cast("int")).alias("cs")))
 
     def with_texts(p: DataFrame) -> DataFrame:
         return p.join(texts.select(F.col("h").alias("ha"), F.col("spell").alias("sa"), F.col("cs").alias("ca")), "ha").join(texts.select(F.col("h").alias("hb"), F.col("spell").alias("sb"), F.col("cs").alias("cb")), "hb").select("ha", "hb", "sa", "sb", "ca", "cb")

@@ -7,7 +7,7 @@ import pytest
 
 from amalgrid.llm.copies import add_keys, batch_counts, canonical, collapse, copy_rows, empty_ledger, update_ledger
 from amalgrid.llm.lookalikes import NativeFold, lookalike_table, same_look_pairs, skeleton
-from amalgrid.llm.variants import Align, build_trie, edits, name_words, variant_pairs, within
+from amalgrid.llm.variants import Align, build_trie, candidate_pairs, edits, name_words, variant_pairs, within
 
 RECORDS = "record_id long, record_name string"
 
@@ -107,3 +107,33 @@ def test_alignment_refuses_contradictions(table):
     assert not say("Anna Abcdel Fghijk", "Henry Abcdel Fghijk")
     assert say("Harry Abcdel Fghijk", "Henry Abcdel Fghijk")
     assert not say("Abcdel 1.25% 20300101", "Abcdel 1.35% 20300101")
+
+
+def test_candidates_hold_every_match(spark):
+    """All pairs by brute force, with one word and with two words looked up."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    surnames = ["lixjinharkryponrud", "smith", "corneral", "undrudiroelectrical", "velkrast", "pondarsul", "torbriand"]
+    names = ["gregory lixjinhar kryponrud", "the gregory lixjinharkryponrud", "ironessha undrudiro electrical inc", "ironessha undrudiroelectrical", "bob smith", "robert smith", "r smith", "uni of velkrast", "university of velkrast", "robert pondarsul torbri", "robert pondarsul torbriand", "smtih", "comeral"]
+    for _ in range(150):
+        w = r.choice(surnames)
+        i = r.randrange(len(w))
+        typo = w[:i] + r.choice(["", "e", w[i] * 2]) + w[i + 1 :]
+        names.append(" ".join(r.sample([r.choice(["robert", "bob", "r", "gregory", "greg", "g"]), typo, r.choice(["foods", "university", "trust", "pty"])], r.randint(1, 3))))
+    lists = spark.createDataFrame([(n,) for n in sorted(set(names))], "spell string").withColumn("h", F.xxhash64("spell")).withColumn("ws", F.split("spell", " "))
+    counts = lists.select(F.explode(F.array_distinct("ws")).alias("word"), F.array_sort("ws").alias("k")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    spells = {x.h: x.spell.split(" ") for x in lists.collect()}
+    align = Align(5)
+    align.counts = {x.word: x.n for x in counts.collect()}
+    want = {(a, b) for a, b in itertools.combinations(sorted(spells), 2) if align.match(spells[a], spells[b])}
+    assert len(want) > 100
+    for hot in (2000, 0):
+        got = {tuple(p) for p in candidate_pairs(lists, counts, 5, hot).collect()}
+        assert not [(spells[a], spells[b]) for a, b in want - got], hot
+
+
+def test_variants_of_lost_blanks(spark):
+    names = ["gregory lixjinhar kryponrud", "the gregory lixjinharkryponrud", "ironessha undrudiro electrical inc", "ironessha undrudiroelectrical"]
+    got = {tuple(p) for p in variant_pairs(spark.createDataFrame(list(enumerate(names)), "internal_id long, name string")).collect()}
+    assert got == {(0, 1), (2, 3)}
