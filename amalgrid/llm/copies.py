@@ -25,13 +25,16 @@ _APART = regex.compile(rf"[\s\p{{P}}{regex.escape(string.punctuation)}]+")
 _INSIDE = regex.compile(rf"(?<=[\p{{L}}\p{{M}}\p{{N}}])[\p{{P}}{regex.escape(string.punctuation)}]+(?=[\p{{L}}\p{{M}}\p{{N}}])")
 
 
+def _pieces(text: str) -> list[str]:
+    """Words in order, single letters apart."""
+    return [w for w in _APART.split(text) if w]
+
+
 def _words(text: str) -> list[str]:
     """Words in order; a run of single letters (``l l c``, ``p/l``) is one word."""
     out: list[str] = []
     single = False
-    for w in _APART.split(text):
-        if not w:
-            continue
+    for w in _pieces(text):
         one = len(w) == 1 and w.isalpha() and not ord(w) > 0x2E7F
         if one and single:
             out[-1] += w
@@ -41,26 +44,34 @@ def _words(text: str) -> list[str]:
     return out
 
 
-def name_keys(name: str, fold: NativeFold) -> tuple[str, str, str] | None:
-    """(words sorted, words sorted with inner punctuation dropped, all letters in order); None for a blank name.
+def name_keys(name: str, fold: NativeFold) -> tuple[str, str, str, str, str] | None:
+    """(words sorted, the same with inner punctuation dropped, both with single letters apart, all letters in order); None for a blank name.
 
-    Names are equal if any of the three is: a dropped hyphen makes one word of two, a changed order does not.
+    Names are equal if any of the five is: a dropped hyphen makes one word of two, a changed order does not,
+    and single letters may move alone.
     """
     text = unicodedata.normalize("NFC", fold(name))
     words = _words(text)
     if not words:
         return None
     key = " ".join(sorted(words))
-    closed = " ".join(sorted(_words(_INSIDE.sub("", text)))) if _INSIDE.search(text) else key
-    return key, closed, "".join(words)
+    apart = " ".join(sorted(_pieces(text)))
+    if not _INSIDE.search(text):
+        return key, key, apart, apart, "".join(words)
+    inside = _INSIDE.sub("", text)
+    return key, " ".join(sorted(_words(inside))), apart, " ".join(sorted(_pieces(inside))), "".join(words)
 
 
 def add_keys(df: DataFrame, source: str = "name") -> DataFrame:
-    """``df`` with ``key``, ``closed`` and ``run``; rows whose name is null or blank are left out."""
+    """``df`` with ``key``, ``closed``, ``apart``, ``closed_apart`` and ``run``; rows whose name is null or blank are left out.
+
+    ``apart`` and ``closed_apart`` are null where they say no more than ``key`` and ``closed``.
+    """
     fold = NativeFold(lookalike_table(df.sparkSession))
     keyed = python_column(df, lambda s: "\n".join(name_keys(s, fold) or ("",)), source, "_keys")
     parts = F.split("_keys", "\n")
-    return keyed.filter("_keys <> ''").withColumns({"key": parts[0], "closed": parts[1], "run": parts[2]}).drop("_keys")
+    other = {"apart": F.nullif(parts[2], parts[0]), "closed_apart": F.nullif(parts[3], parts[1])}
+    return keyed.filter("_keys <> ''").withColumns({"key": parts[0], "closed": parts[1], **other, "run": parts[4]}).drop("_keys")
 
 
 def _mark(kind: str, column: str):
@@ -69,11 +80,11 @@ def _mark(kind: str, column: str):
 
 
 def canonical(keyed: DataFrame) -> DataFrame:
-    """``keyed(key, closed, run, ...)`` with ``canon``: one key for all that any of the three keys makes equal.
+    """``keyed(key, closed, apart, closed_apart, run, ...)`` with ``canon``: one key for all that any of the five keys makes equal.
 
-    Only keys that really meet in ``closed`` or ``run`` (few) go through the grouping of links.
+    Only keys that really meet in another key (few) go through the grouping of links.
     """
-    marks = F.array_compact(F.array(F.when(F.col("closed") != F.col("key"), _mark("c", "closed")), _mark("r", "run"), _mark("c", "key")))
+    marks = F.array_compact(F.array(F.when(F.col("closed") != F.col("key"), _mark("c", "closed")), *(F.when(F.col(c).isNotNull(), _mark("c", c)) for c in ("apart", "closed_apart")), _mark("r", "run"), _mark("c", "key")))
     uses = keyed.select(F.xxhash64("key").alias("node"), F.explode(marks).alias("mark")).distinct()
     meet = uses.groupBy("mark").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("mark", "low")
     links = uses.join(meet, "mark").filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()

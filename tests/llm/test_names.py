@@ -49,6 +49,12 @@ def test_copies(spark):
     assert sorted(tuple(r) for r in copy_rows(ledger, members).collect()) == [(3, 4), (3, 5), (3, 6), (3, 9), (13, 14), (15, 16)]
 
 
+def test_copies_with_moved_single_letters(spark):
+    names = ["Korundost & Folhulble L L C", "C Korundost & Folhulble L L", "A B Smith", "B A Smith", "L Korundost", "Oneil L L C", "C, O'Neil L L", "A Smith B", "AB Smith C"]
+    ledger, members = collapse(spark.createDataFrame(list(enumerate(names)), RECORDS))
+    assert sorted(tuple(r) for r in copy_rows(ledger, members).collect()) == [(0, 1), (2, 3), (2, 7), (5, 6)]
+
+
 def test_ledger_grows_by_batches(spark):
     rows = [(i, random.Random(i).choice(["A b", "b, a", "C d", "E"])) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, name string")
