@@ -1,11 +1,12 @@
 """Pairwise matches into groups: union-find in edge partitions, forests merged level by level.
 
-Every level splits the links into partitions of at most ``bound`` links (by round robin, so no node,
-however often it occurs, makes a partition larger). A task runs union-find over its links and keeps
-only the spanning forest as a star: node -> smallest id of its tree. A node that is nowhere the root
-of a tree is then *settled*: it points at its smallest root, the roots it joins are linked with each
-other, and it leaves the graph. The next level holds the remaining roots alone. When what is left
-fits one bounded partition, a last union-find ends it, and the levels are unwound with one join each.
+Every level splits the links into partitions of at most ``bound`` links (as they come or by round robin, so no
+node, however often it occurs, makes a partition larger). A task runs union-find over its links and keeps only
+the spanning forest as stars: node -> root, the node of its tree with the least hash. Hashes change from level to
+level, so no order of the ids can keep a level from shrinking. A node is then contracted into the least of its
+roots over all partitions, and the forests' links, renamed so, are the next level: a path of one-link trees
+halves, everything denser shrinks faster. When what is left fits one bounded partition, a last union-find ends
+it, and the levels are unwound with one join each. The smallest id is an aggregate that goes along.
 No level collects links or nodes to the driver, and no task holds more than ``bound`` links.
 """
 
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from amalgrid.session import cut
 
@@ -24,10 +26,12 @@ from amalgrid.session import cut
 BOUND = 1_000_000
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parent: dict[int, int] = {}
+def _stars(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Links (a, hash of a, b, hash of b) -> (node, root, hash of root); roots have the least hash of their tree."""
+    parent: dict = {}
+    rank: dict = {}
 
-    def find(x: int) -> int:
+    def find(x):
         root = x
         while (up := parent[root]) != root:
             root = up
@@ -36,56 +40,80 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return root
 
     for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ra = find(a) if a in parent else parent.setdefault(a, a)
-            rb = find(b) if b in parent else parent.setdefault(b, b)
-            if ra < rb:
-                parent[rb] = ra
-            elif rb < ra:
-                parent[ra] = rb
-    if parent:
-        nodes = list(parent)
-        step = 100_000
-        for k in range(0, len(nodes), step):
-            part = nodes[k : k + step]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["node", "root"])
-
-
-def connected(links: DataFrame, bound: int = BOUND) -> DataFrame:
-    """(node, root): each node of ``links(a LONG, b LONG)`` with the smallest id of its component.
-
-    Links with a null end are ignored; a self link makes its node a component; repeats and either
-    direction are the same link. An empty input gives an empty result. ``root`` is exact at any size.
+        for a, ha, b, hb in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if a not in parent:
+                parent[a], rank[a] = a, (ha, a)
+            if b not in parent:
+                parent[b], rank[b] = b, (hb, b)
+            a, b = find(a), find(b)
+            if a != b:
+                if rank[a] < rank[b]:
+                    parent[b] = a
+                else:
+                    parent[a] = b
+    nodes = list(parent)
+    step = 100_000
+    for k in range(0, len(nodes), step):
+        part = nodes[k : k + step]
+        roots = [find(x) for x in part]
+        yield pa.RecordBatch.from_arrays([pa.array(part, kind), pa.array(roots, kind), pa.array([rank[r][0] for r in roots], pa.int64())], names=["node", "root", "h"])
+
+
+def _forest(edges: DataFrame, level: int) -> DataFrame:
+    """(node, root, h) of the links of each partition on their own."""
+    kind = edges.schema["a"].dataType
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    arrow = to_arrow_type(kind)
+    hashed = edges.select("a", F.xxhash64(F.lit(level), "a").alias("ha"), "b", F.xxhash64(F.lit(level), "b").alias("hb"))
+    schema = T.StructType([T.StructField("node", kind), T.StructField("root", kind), T.StructField("h", T.LongType())])
+    return hashed.mapInArrow(lambda batches: _stars(batches, arrow), schema)
+
+
+def connected(links: DataFrame, bound: int = BOUND, trace: list[int] | None = None) -> DataFrame:
+    """(node, root): each node of ``links(a, b)`` with the smallest id of its component.
+
+    Ids are of any one type that Spark can order and hash (long, string, binary). Links with a null end are
+    ignored; a self link makes its node a component; repeats and either direction are the same link. An empty
+    input gives an empty result. ``root`` is exact at any size. ``trace`` takes the links left after each level.
     """
-    spark = links.sparkSession
-    edges = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a is not null and b is not null")
-    edges = cut(edges)
+    edges = cut(links.select("a", "b").filter("a is not null and b is not null"))
     count = edges.count()
-    levels: list[DataFrame] = []
-    while count > bound:
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    low = None
+    while True:
         parts = math.ceil(count / bound)
-        stars = edges.repartition(parts).mapInArrow(_forest, "node long, root long")
-        seen = cut(stars.groupBy("node").agg(F.min("root").alias("root"), F.max(F.col("root") == F.col("node")).alias("is_root"), F.collect_set("root").alias("roots")))
-        settled = seen.filter(~F.col("is_root")).select("node", "root")
-        levels.append(settled)
-        # Roots joined by a settled node hang together; a root that is also a leaf elsewhere keeps its links.
-        joined = seen.select(F.when(F.col("is_root"), F.col("node")).otherwise(F.col("root")).alias("a"), F.explode("roots").alias("b"))
-        left = cut(joined.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        singles = seen.filter("is_root").select("node")
-        levels.append(singles)
-        shrunk = left.count()
-        if shrunk >= count:
-            # Only when every link is alone in its partition; larger partitions then merge more at once.
-            bound *= 2
-        edges, count = left, shrunk
-    labels = edges.coalesce(1).mapInArrow(_forest, "node long, root long") if count else spark.createDataFrame([], "node long, root long")
-    while levels:
-        singles, settled = levels.pop(), levels.pop()
-        inner = labels
-        roots = singles.join(inner, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        up = inner.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        leaves = settled.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-        labels = cut(roots.unionByName(leaves))
+        # The links of the input are taken where they lie; only too large partitions are dealt out anew.
+        held = edges if not levels and edges.rdd.getNumPartitions() >= parts else edges.repartition(max(parts, 1))
+        last = bool(levels) and count <= bound
+        stars = _forest(held.coalesce(1) if last else held, len(levels))
+        if last:
+            ups = stars.select("node", F.col("root").alias("up"))
+        else:
+            # A node stands in at most one tree a partition.
+            stars = cut(stars.groupBy("node").agg(F.min_by("root", F.struct("h", "root")).alias("up"), F.collect_set("root").alias("roots")))
+            ups = stars.select("node", "up")
+        known = ups if low is None else ups.join(low, "node", "left")
+        smallest = known.groupBy("up").agg(F.min("node" if low is None else "low").alias("low"))
+        if last:
+            levels.append((ups, smallest))
+            break
+        renamed = stars.select("up", F.explode("roots").alias("root")).distinct().join(ups.withColumnRenamed("up", "to"), F.col("root") == F.col("node")).filter("up <> to")
+        left = cut(renamed.select(F.least("up", "to").alias("a"), F.greatest("up", "to").alias("b")).distinct())
+        smallest = cut(smallest)
+        levels.append((ups, smallest))
+        low = smallest.withColumnRenamed("up", "node")
+        edges, count = left, left.count()
+        if trace is not None:
+            trace.append(count)
+        if not count:
+            break
+    labels = None
+    for ups, smallest in reversed(levels):
+        tops = smallest if labels is None else smallest.join(labels.withColumnRenamed("node", "up"), "up", "left").select("up", F.coalesce("root", "low").alias("low"))
+        labels = ups.join(tops, "up").select("node", F.col("low").alias("root"))
+        if len(levels) > 1:
+            labels = cut(labels)
     return labels
 
 

@@ -49,3 +49,30 @@ def test_empty(spark):
     records = spark.createDataFrame([(1, None)], "internal_id long, matches array<long>")
     none = spark.createDataFrame([], "a long, b long")
     assert [tuple(r) for r in group_records(records, none).collect()] == [(1, 1, 1)]
+
+
+def test_levels_shrink_whatever_the_order_of_ids(spark):
+    """A chain with ids in order, in partitions of one link in a hundred: each level halves it about."""
+    from pyspark.sql import functions as F
+
+    n = 200_000
+    trace = []
+    links = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = connected(links, 2_000, trace)
+    assert got.filter("root = 0").count() == n + 1
+    assert len(trace) <= 12
+    assert all(b <= 0.7 * a for a, b in zip([n, *trace], trace))
+
+
+def test_other_kinds_of_ids(spark):
+    links = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "x"), (None, "a")], "a string, b string")
+    assert {tuple(r) for r in connected(links).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x")}
+    assert connected(links.limit(0)).count() == 0
+    binary = links.select(F_binary("a"), F_binary("b"))
+    assert {bytes(r.root) for r in connected(binary).collect()} == {b"a", b"x"}
+
+
+def F_binary(c):
+    from pyspark.sql import functions as F
+
+    return F.col(c).cast("binary").alias(c)
