@@ -1,20 +1,22 @@
 """Texts decoded with the wrong character encoding: find them, and give back the original where it is known.
 
 Every distinct clean word of the corpus that holds a non-ASCII character is garbled along every
-encoding chain (bytes written in one encoding and read in another, once or twice over). The garbled
-forms are a table, and the corpus' own words are hash-joined against it. Typographic marks and single
-letters are words too: a garbled mark glued to a word that has no clean twin is found through the
-table of garbled letters, which is bounded by the characters of Unicode times the chains.
+encoding chain (bytes written in one encoding and read in another, once or twice over), and so are the
+foreign runs and the single foreign letters and marks of these words. The garbled forms are a table, and the
+corpus' own tokens, with all their parts that can be such a form, are hash-joined against it. So a word that
+has no clean twin is put together from the originals of its parts, all along one chain.
 A hit is verified: its original has to be plausible, and another string.
 """
 
 from __future__ import annotations
 
+import codecs
 import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -98,6 +100,7 @@ def undone(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     return text
 
 
+_FOREIGN = regex.compile("[^\x00-\x7f]+")
 _UGLY = regex.compile("[�\x00-\x08\x0e-\x1f\x7f-\x9f]|\\p{Co}|\\p{Cn}|[─-▟]")
 #: Unicode bytes read in a one-byte Western encoding: a lead byte and its continuations.
 _CONT = "[\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
@@ -108,6 +111,9 @@ def plausible(token: str, lookalike: frozenset[str] = frozenset()) -> bool:
     """Whether a word could be a clean one: letters of one script (look-alikes aside), no stray symbols."""
     if token.isascii():
         return True
+    # Bytes taken apart may hold a no-break space, which is a blank afterwards.
+    if _BYTES.search(token):
+        return False
     token = widths(token)
     if _UGLY.search(token) or _BYTES.search(token):
         return False
@@ -136,64 +142,87 @@ def plausible(token: str, lookalike: frozenset[str] = frozenset()) -> bool:
     return not (scripts == {"latin"} and letters >= 3 and not ascii_letters)
 
 
-_LOST = "\uffff"
-_BY_CHARACTER = tuple(k for k, chain in enumerate(CHAINS) if all(r not in ("utf-8", "ascii", "gbk", "big5", "shift_jis", "euc_jp", "euc_kr") for _, r in chain))
-#: Bits of the filter on forms: 16 a token, and never more than this, 16 MB.
+_MULTI = ("utf-8", "ascii", "gbk", "big5", "shift_jis", "euc_jp", "euc_kr")
+#: Bits of the filter on forms: 16 a piece, and never more than this, 16 MB; what passes it is decided by the join.
 FILTER_BITS = 1 << 27
+#: The longest form of one character that a piece of a token is compared with; a run or a word may be longer.
+LONGEST = 20
+
 
+def _read_all(text: str, chain: tuple[tuple[str, str], ...]) -> str:
+    """``garble`` for text that can be written: line breaks stay."""
+    for write, read in chain:
+        raw = text.encode(write)
+        table = _reading(read) if read not in _MULTI else None
+        text = codecs.charmap_decode(raw, "strict", table)[0] if table else raw.decode(read, "replace")
+    return text
 
-class _Characters(dict):
-    """A chain as a translation of characters, made as they occur; only for chains that read byte by byte."""
 
-    def __init__(self, chain: tuple[tuple[str, str], ...]):
-        super().__init__()
-        self.chain = chain
+def _writable(words: list[str], encoding: str) -> list[int]:
+    if encoding == "utf-8":
+        return list(range(len(words)))
+    out = []
+    for k, w in enumerate(words):
+        try:
+            w.encode(encoding)
+        except UnicodeEncodeError:
+            continue
+        out.append(k)
+    return out
 
-    def __missing__(self, point: int) -> str:
-        c = chr(point)
-        form = garble(c, self.chain)
-        if form is None:
-            try:
-                c.encode(self.chain[0][0])
-                form = c
-            except UnicodeEncodeError:
-                form = _LOST
-        self[point] = form
-        return form
+
+def all_forms(words: list[str], passes=None) -> Iterator[tuple[int, str, int]]:
+    """(place in words, form, chain) of every form; of longer words only the first chain that gives a form.
+
+    ``passes(lower-case forms) -> places`` keeps forms out that nothing can hold.
+    """
+    writable = {e: _writable(words, e) for e in {c[0][0] for c in CHAINS}}
+    seen: set[tuple[int, str]] = set()
+    for k, chain in enumerate(CHAINS):
+        places = writable[chain[0][0]]
+        if not places:
+            continue
+        mine = [words[p] for p in places]
+        text = _read_all("\n".join(mine), chain)
+        low = text.lower().split("\n")
+        forms = text.split("\n")
+        if len(forms) != len(mine):
+            forms = [garble(w, chain) or w for w in mine]
+            low = [f.lower() for f in forms]
+        for at in range(len(forms)) if passes is None else passes(low):
+            word, form, p = mine[at], forms[at], places[at]
+            if form == word or form.isascii() or not form.strip("?�") or any(x in form for x in " \t\r\n"):
+                continue
+            if len(word) > 1:
+                if (p, form) in seen:
+                    continue
+                seen.add((p, form))
+            yield p, form, k
 
 
 def _forms(bitmap, bits: int):
-    """Words -> (form, original, chain), for forms that the corpus may hold according to its bitmap."""
+    """Units -> (low, form, unit, chain), for forms that the corpus may hold according to its bitmap."""
     from zlib import crc32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bitmap.value
-        tables = {k: _Characters(CHAINS[k]) for k in _BY_CHARACTER}
+        held = np.frombuffer(bitmap.value, np.uint8)
+
+        def passes(low: list[str]) -> list[int]:
+            bit = np.fromiter(map(crc32, map(str.encode, low)), np.int64, len(low)) & (bits - 1)
+            return np.nonzero(held[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)[0].tolist()
+
         for batch in batches:
-            forms: list[str] = []
-            originals: list[str] = []
-            chains: list[int] = []
-            for word in batch.column(0).to_pylist():
-                mine = {word}
-                for k, chain in enumerate(CHAINS):
-                    form = word.translate(tables[k]) if k in tables else garble(word, chain)
-                    if form is None or form in mine or _LOST in form:
-                        continue
-                    mine.add(form)
-                    low = form.lower()
-                    bit = crc32(low.encode("utf-8", "replace")) & (bits - 1)
-                    if held[bit >> 3] >> (bit & 7) & 1 and not any(x in form for x in " \t\r\n") and form.strip("?�"):
-                        forms.append(low)
-                        originals.append(word)
-                        chains.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array(forms, pa.string()), pa.array(originals, pa.string()), pa.array(chains, pa.int32())], names=["form", "original", "chain"])
+            units = batch.column(0).to_pylist()
+            found = list(all_forms(units, passes))
+            forms = [f for _, f, _ in found]
+            yield pa.RecordBatch.from_arrays([pa.array([f.lower() for f in forms], pa.string()), pa.array(forms, pa.string()), pa.array([units[p] for p, _, _ in found], pa.string()), pa.array([k for _, _, k in found], pa.int32())], names=["low", "form", "unit", "chain"])
 
     return run
 
 
-def _bitmap(tokens: DataFrame, bits: int) -> bytes:
-    """One bit for each checksum of a lower-case token: of fixed size, whatever the corpus."""
-    place = tokens.select((F.crc32(F.lower("token")) % bits + 1).alias("bit"))  # these functions count from 1
+def _bitmap(pieces: DataFrame, bits: int) -> bytes:
+    """One bit for each checksum of a lower-case piece: of fixed size, whatever the corpus."""
+    place = pieces.select((F.crc32("low") % bits + 1).alias("bit"))  # these functions count from 1
     parts = place.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
     out = bytearray(bits // 8 + 4096 * 2)
     for bucket, part in parts.toLocalIterator():
@@ -202,6 +231,32 @@ def _bitmap(tokens: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
+def _pieces(token: str) -> set[str]:
+    """What of an implausible token can be a form: itself, its foreign runs, and its short foreign parts."""
+    out = {token, *_FOREIGN.findall(token)}
+    odd = [k for k, c in enumerate(token) if not c.isascii()]
+    for n, i in enumerate(odd):
+        for j in odd[n:]:
+            if j - i >= LONGEST:
+                break
+            out.add(token[i : j + 1])
+    return out
+
+
+def _cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, ok) -> (token, ok, low): the lower-case pieces to look up; of a plausible token itself alone."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 2000):
+            batch = whole.slice(at, 2000)
+            tokens, oks, lows = [], [], []
+            for token, ok in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for low in {p.lower() for p in ({token} if ok else _pieces(token))}:
+                    tokens.append(token)
+                    oks.append(ok)
+                    lows.append(low)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(oks, pa.bool_()), pa.array(lows, pa.string())], names=["token", "ok", "low"])
+
+
 #: ASCII letters that have a twin in Cyrillic or Greek; a word of these alone may be such a word.
 _TWINS = (frozenset("ABCEHIJKMOPSTXYaceiopsxy"), frozenset("ABEHIKMNOPTXYZopuvxy"))
 
@@ -217,74 +272,72 @@ def _byte_evidence(token: str, lookalike: frozenset[str]) -> bool:
     return bool(odd) and not any(plain <= twins for twins in _TWINS)
 
 
-class LetterTable:
-    """The garbled forms of single letters and marks by chain, to undo a chain within a word."""
+def tiled(token: str, hits: list[tuple[str, str, int]], lookalike: frozenset[str]) -> tuple[str, int] | None:
+    """The token with joined (form, unit, chain) put back along one chain: the shortest plausible original and its chain.
 
-    def __init__(self, letters: list[str]):
-        self.chains: list[tuple[int, dict[str, str], int, bool]] = []
-        for k, chain in enumerate(CHAINS):
-            if chain[0][1] in ("utf-8", "ascii") or chain[0][0] in ("gbk", "big5", "shift_jis", "euc_jp", "euc_kr"):
+    Unicode bytes read apart may stand beside letters that survived; letters read one for one go all or none.
+    """
+    chains: dict[int, dict[str, str]] = {}
+    for form, unit, k in sorted(hits, key=lambda x: (x[2], len(x[0]), x)):
+        table = chains.setdefault(k, {})
+        table[form] = unit
+        for shifted in (form.lower(), form.upper()):
+            if len(shifted) == len(form):
+                table.setdefault(shifted, unit)
+    best: tuple[int, int, str] | None = None
+    for k, table in chains.items():
+        many = CHAINS[k][0][0] == "utf-8"
+        longest = max(map(len, table))
+        out, at, found, bad = [], 0, 0, False
+        while at < len(token) and not bad:
+            c = token[at]
+            for n in range(min(longest, len(token) - at), 0, -1):
+                if (to := table.get(token[at : at + n])) is not None:
+                    out.append(to)
+                    at += n
+                    found += 1
+                    break
+            else:
+                bad = not c.isascii() and (not many or unicodedata.category(c)[0] not in "LZMP" and c not in _GOOD_MARKS)
+                out.append(c)
+                at += 1
+        if found and not bad and (fixed := "".join(out)) != token and plausible(fixed, lookalike):
+            if not many and not _byte_evidence(token, lookalike):
                 continue
-            forms = {c: form for c in letters if (form := garble(c, chain)) and "�" not in form and not form.isascii()}
-            table = {form: c for c, form in forms.items()}
-            for c, form in forms.items():
-                for shifted in (form.lower(), form.upper()):
-                    if len(shifted) == len(form):
-                        table.setdefault(shifted, c)
-            if table:
-                longest = max(map(len, table))
-                self.chains.append((k, table, longest, longest > 1))
-
-    def undo(self, token: str, lookalike: frozenset[str]) -> tuple[str, int] | None:
-        """The shortest plausible original (bytes taken apart make a text longer) and its chain."""
-        best: tuple[int, int, str] | None = None
-        for k, table, longest, many in self.chains:
-            out, at, hits, bad = [], 0, 0, False
-            while at < len(token):
-                c = token[at]
-                if c.isascii():
-                    out.append(c)
-                    at += 1
-                    continue
-                for n in range(min(longest, len(token) - at), 1 if many else 0, -1):
-                    if (to := table.get(token[at : at + n])) is not None:
-                        out.append(to)
-                        at += n
-                        hits += 1
-                        break
-                else:
-                    if not many or unicodedata.category(c)[0] not in "LZMP" and c not in _GOOD_MARKS:
-                        bad = True
-                        break
-                    out.append(c)
-                    at += 1
-            if hits and not bad and (fixed := "".join(out)) != token and plausible(fixed, lookalike):
-                if not many and not _byte_evidence(token, lookalike):
-                    continue
-                best = min(best or (len(fixed), k, fixed), (len(fixed), k, fixed))
-        return (best[2], best[1]) if best else None
+            best = min(best or (len(fixed), k, fixed), (len(fixed), k, fixed))
+    return (best[2], best[1]) if best else None
 
 
-def _undo_all(letters: list[str], lookalike: frozenset[str]):
+def _solved(lookalike: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = LetterTable(letters)
         for batch in batches:
             tokens, originals, chains = [], [], []
-            for token in batch.column(0).to_pylist():
-                if (hit := table.undo(token, lookalike)) is not None:
+            for token, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if (hit := tiled(token, [(f["form"], f["unit"], f["chain"]) for f in found], lookalike)) is not None:
                     tokens.append(token)
                     originals.append(hit[0])
                     chains.append(hit[1])
-                elif "�" in token:
-                    tokens.append(token)
-                    originals.append(None)
-                    chains.append(None)
             yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(originals, pa.string()), pa.array(chains, pa.int32())], names=["token", "original", "chain"])
 
     return run
 
 
 _SPLIT = "[ \\t\\r\\n]+"
+#: Nats a letter pair by which an original must read better than a plausible token, whatever their counts.
+BETTER = 0.5
+
+
+def _pairs_of(token: str):
+    """The letter pairs of a token with its ends."""
+    ends = F.concat(F.lit("\x02"), F.col(token), F.lit("\x03"))
+    return F.transform(F.sequence(F.lit(1), F.length(token) + 1), lambda i: F.substring(ends, i, F.lit(2)))
+
+
+def _readings(texts: DataFrame, clean: DataFrame) -> DataFrame:
+    """(text, score): the mean log share of a text's letter pairs among those of all distinct clean tokens."""
+    pairs = clean.select(F.explode(_pairs_of("token")).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("m"))
+    wanted = texts.select("text", F.explode(_pairs_of("text")).alias("pair"))
+    return wanted.join(pairs, "pair", "left").groupBy("text").agg(F.avg(F.log(F.coalesce("m", F.lit(0)) + 0.1)).alias("score"))
 
 
 def garbled_tokens(rows: DataFrame) -> DataFrame:
@@ -298,27 +351,35 @@ def garbled_tokens(rows: DataFrame) -> DataFrame:
     def is_plausible(values: pa.Array) -> pa.Array:
         return pa.array([plausible(v, lookalike) for v in values.to_pylist()], pa.bool_())
 
-    strange = rows.filter(F.col("name").rlike("[^\\x00-\\x7F]"))
-    tokens = strange.select(F.explode(F.split("name", _SPLIT)).alias("token")).filter(F.col("token").rlike("[^\\x00-\\x7F]"))
+    foreign = "[^\\x00-\\x7F]"
+    strange = rows.select("name").filter(F.col("name").rlike(foreign)).distinct()
+    tokens = strange.select(F.explode(F.array_distinct(F.split("name", _SPLIT))).alias("token")).filter(F.col("token").rlike(foreign))
+    # Counted over distinct names: copies say nothing about a word.
     tokens = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("ok", is_plausible("token")))
     clean = tokens.filter("ok")
-    count = tokens.count()
+    pieces = cut(tokens.select("token", "ok").mapInArrow(_cut_up, "token string, ok boolean, low string"))
+    count = pieces.count()
     bits = min(FILTER_BITS, 1 << max(16, (16 * count).bit_length()))
     # Most forms occur nowhere; the filter keeps them out of the shuffle, and the join decides about the rest.
-    bitmap = spark.sparkContext.broadcast(_bitmap(tokens, bits))
+    bitmap = spark.sparkContext.broadcast(_bitmap(pieces, bits))
     tasks = max(spark.sparkContext.defaultParallelism, count // 50_000)
-    forms = clean.select("token").repartition(tasks).mapInArrow(_forms(bitmap, bits), "form string, original string, chain int")
-    forms = forms.groupBy("form").agg(F.min(F.struct("chain", "original")).alias("f")).select("form", "f.chain", "f.original")
-    # A plausible word counts as garbled only against a commoner original: then the rarer one is the accident.
-    common = clean.select(F.col("token").alias("original"), F.col("n").alias("n_original"))
-    words = cut(tokens.withColumn("form", F.lower("token")).join(forms, "form").filter(F.lower("original") != F.col("form")))
-    sure = words.filter("not ok").select("token", "original", "chain")
-    unsure = words.filter("ok").join(common, "original").filter("n_original > 2 * n").select("token", "original", "chain")
-    # Distinct characters: bounded by Unicode, whatever the corpus.
-    letters = sorted(r[0] for r in clean.select(F.explode(F.split("token", "")).alias("c")).filter(F.col("c").rlike("[^\\x00-\\x7F]")).distinct().collect())
-    letters = sorted({*letters, *_GOOD_MARKS, "\xa0", "™", "€"})
-    parts = tokens.filter("not ok").select("token").repartition(tasks).mapInArrow(_undo_all(letters, lookalike), "token string, original string, chain int")
-    both = sure.unionByName(unsure).unionByName(parts)
+    # The units of the corpus: its clean words, the foreign runs within them, and their foreign letters.
+    runs, letters = F.regexp_extract_all("token", F.lit("[^\\x00-\\x7F]+"), F.lit(0)), F.split(F.regexp_replace("token", "[\\x00-\\x7F]+", ""), "")
+    units = clean.select(F.explode(F.concat(F.array("token"), runs, letters)).alias("unit")).filter("unit <> ''")
+    units = units.unionByName(spark.createDataFrame([(c,) for c in sorted({*_GOOD_MARKS, "\xa0", "€"})], "unit string")).distinct()
+    forms = units.repartition(tasks).mapInArrow(_forms(bitmap, bits), "low string, form string, unit string, chain int")
+    hits = cut(pieces.join(forms, "low").filter("low <> lower(unit)"))
+    # Within a token there are at most so many pieces, chains and letters as its length allows.
+    found = hits.filter("not ok").groupBy("token").agg(F.collect_set(F.struct("form", "unit", "chain")).alias("found"))
+    sure = found.mapInArrow(_solved(lookalike), "token string, original string, chain int")
+    # Where both read as words, the letters decide which is the accident; only where they don't, the counts of names.
+    unsure = hits.filter("ok").join(clean.select(F.col("token").alias("unit"), F.col("n").alias("n_unit")), "unit").join(clean.select("token", "n"), "token")
+    unsure = cut(unsure.select("token", F.col("unit").alias("original"), "chain", "n", "n_unit"))
+    texts = _readings(unsure.select(F.col("token").alias("text")).unionByName(unsure.select(F.col("original").alias("text"))).distinct(), clean)
+    read = unsure.join(texts.select(F.col("text").alias("token"), F.col("score").alias("s")), "token").join(texts.select(F.col("text").alias("original"), F.col("score").alias("s_unit")), "original")
+    unsure = read.filter(f"s_unit - s > {BETTER} or s_unit - s >= -{BETTER} and n_unit > 2 * n").select("token", "original", "chain")
+    lost = tokens.filter("token like '%�%'").select("token", F.lit(None).cast("string").alias("original"), F.lit(None).cast("int").alias("chain"))
+    both = sure.unionByName(unsure).unionByName(lost)
     return both.groupBy("token").agg(F.min(F.struct(F.col("original").isNull().alias("lost"), F.length("original").alias("n"), "chain", "original")).alias("b")).select("token", "b.original", "b.chain")
 
 
