@@ -267,7 +267,7 @@ def _byte_evidence(token: str, lookalike: frozenset[str]) -> bool:
     plain = {c for c in token if c.isascii() and c.isalpha()}
     if not plain:
         return True
-    odd = [c for c in token if not c.isascii() and c not in lookalike and (unicodedata.category(c) not in ("Lu", "Ll") or script_of(c) != "latin")]
+    odd = [c for c in token if not c.isascii() and (c not in lookalike or unicodedata.category(c) in ("Lm", "Sk")) and (unicodedata.category(c) not in ("Lu", "Ll") or script_of(c) != "latin")]
     odd = [c for c in odd if unicodedata.category(c)[0] not in "ZM" and unicodedata.category(c) != "Cf" and (c not in _GOOD_MARKS or c == "·")]
     return bool(odd) and not any(plain <= twins for twins in _TWINS)
 

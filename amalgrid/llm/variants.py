@@ -1,12 +1,12 @@
 """Variant spellings of typed names: trie join, then token alignment in any order.
 
-Names become words in one form (look-alikes home, accents off, digits read as letters inside words).
-Distinct word lists, not rows, go on. The vocabulary is joined with itself first: words that share a rest
-after deletions, short forms, nicknames, initials, joined words and cut ends give, for each word, all keys
-that can stand for it. Then each name looks up the names that hold a key of one of its words, which any
-match must cover. What meets is checked word by word in every order: typing errors, short forms, nicknames, initials and cut ends may differ;
-numbers, places, trades and given names may not. Equal spellings and links form groups, whose pairs are
-returned unless two of their words contradict each other.
+Names become words in one form (garbled ones restored, look-alikes home, accents off, digits read as letters inside words).
+Distinct word lists, not rows, go on. They are sharded into tries: all names that hold an anchor word, with the
+words beside it as the trie. Each name asks with the two rarest words that any match must cover, one as the anchor
+and the other walking the trie with a Levenshtein automaton; anchors within one edit come from tries of the
+vocabulary, sharded by halves of words. What meets is checked word by word in every order: typing errors, short
+forms, nicknames, initials, lost blanks and cut ends may differ; numbers, places, trades and given names may not.
+Equal spellings and links form groups, whose pairs are returned unless two of their words contradict each other.
 """
 
 from __future__ import annotations
@@ -22,14 +22,17 @@ from pyspark.sql import functions as F
 
 from amalgrid.llm.components import connected
 from amalgrid.llm.copies import _words
-from amalgrid.llm.garbled import _BYTES, plausible
+from amalgrid.llm.garbled import garbled_records
 from amalgrid.llm.lookalikes import NativeFold, distinct_records, lookalike_table
 from amalgrid.session import cut
 
-#: A word of at least so many distinct names is an established one (trade, place, given name, legal form).
-ESTABLISHED = 12
-#: A word that more names than this can cover is looked up together with a second one.
-HOT = 2000
+#: An established word (trade, place, given name, legal form) stands in this share of all distinct names, in no
+#: fewer than so many, and beside so many effective partners.
+SHARE, LEAST, PARTNERS = 1 / 2500, 5, 8
+#: Partners of one anchor that one trie holds.
+BLOCK = 2000
+#: A name of so many letters may have been cut off at its end; one of more than so many words is compared by single ones.
+LONG, MANY = 14, 24
 
 # Legal forms and words that tell no entities apart.
 LEGAL = frozenset(
@@ -60,34 +63,11 @@ for _k, _g in enumerate(NICKNAMES):
         _NICK.setdefault(_n, []).append(_k)
 _READ_AS = str.maketrans("0134578", "oleastb")
 _FLAT = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i", "ð": "d", "þ": "th", "ħ": "h", "®": " ", "™": " ", "©": " ", "№": " no "})
-_REPAIRS = (("cp1252", "utf-8"), ("latin-1", "utf-8"), ("cp437", "utf-8"), ("mac_roman", "utf-8"), ("cp1251", "utf-8"), ("latin-1", "cp1253"), ("cp1252", "cp1251"), ("latin-1", "gbk"), ("latin-1", "euc_jp"), ("latin-1", "euc_kr"), ("cp437", "cp1252"), ("mac_roman", "cp1252"))
-
-
-def repaired(text: str) -> str:
-    """A garbled name read back, where some step gives a plausible one."""
-    for _ in range(2):
-        if text.isascii() or not (_BYTES.search(text) or any(not plausible(t) for t in text.split(" "))):
-            return text
-        best = None
-        for written, meant in _REPAIRS:
-            try:
-                fixed = text.encode(written).decode(meant)
-            except UnicodeError:
-                try:
-                    fixed = " ".join(w if w.isascii() else w.encode(written).decode(meant) for w in text.split(" "))
-                except UnicodeError:
-                    continue
-            if fixed != text and "�" not in fixed and (best is None or len(fixed) < len(best)):
-                best = fixed
-        if best is None or all(plausible(t) for t in text.split(" ")):
-            return text
-        text = best
-    return text
 
 
 def name_words(name: str, fold: NativeFold) -> list[str]:
     """The words of a name in its own order and one form."""
-    text = fold(repaired(name)).translate(_FLAT)
+    text = fold(name).translate(_FLAT)
     text = regex.sub(r"(?<=\p{L})['’`´](?=\p{L})", "", text)
     if not text.isascii():
         text = unicodedata.normalize("NFC", regex.sub(r"(?<=[\p{Latin}\p{Greek}\p{Cyrillic}])\p{M}+", "", unicodedata.normalize("NFD", text)))
@@ -104,13 +84,17 @@ def name_words(name: str, fold: NativeFold) -> list[str]:
 _HERE = ""
 
 
+def _insert(trie: dict, word: str) -> None:
+    node = trie
+    for c in word:
+        node = node.setdefault(c, {})
+    node[_HERE] = word
+
+
 def build_trie(words) -> dict:
     root: dict = {}
     for w in words:
-        node = root
-        for c in w:
-            node = node.setdefault(c, {})
-        node[_HERE] = w
+        _insert(root, w)
     return root
 
 
@@ -183,12 +167,13 @@ def _subsequence(short: str, long: str) -> bool:
 class Align:
     """Decides whether two word lists can name one entity. ``counts`` of words are over distinct lists."""
 
-    def __init__(self, established: int):
+    def __init__(self, established: int, words: frozenset[str] | None = None):
         self.established = established
+        self.words = words
         self.counts: dict[str, int] = {}
 
     def known(self, w: str) -> bool:
-        return self.counts.get(w, 0) >= self.established
+        return w in self.words if self.words is not None else self.counts.get(w, 0) >= self.established
 
     def core(self, words: list[str]) -> list[str]:
         return [w for w in words if w not in FILLERS and w not in LEGAL]
@@ -217,7 +202,7 @@ class Align:
         ca, cb = self.counts.get(a, 1), self.counts.get(b, 1)
         rarer, commoner = min(ca, cb), max(ca, cb)
         # Two words that both stand on their own are two words; an error is rare beside what was meant.
-        if rarer >= self.established and commoner < 20 * rarer or rarer >= 4 and commoner < 5 * rarer:
+        if self.known(a) and self.known(b) and commoner < 20 * rarer or rarer >= 4 and commoner < 5 * rarer:
             return None
         low = min(len(a), len(b))
         wide = ord(a[0]) > 0x2E7F
@@ -225,10 +210,14 @@ class Align:
         if low < (4 if not wide else 5):
             return None
         d = edits(a, b, most)
-        if d > most and "rn" in a + b:
-            d = edits(a.replace("rn", "m"), b.replace("rn", "m"), most - 1) + 1 if most else most + 1
+        if d > 1 and most and "rn" in a + b:
+            d = min(d, edits(a.replace("rn", "m"), b.replace("rn", "m"), most - 1) + 1)
         return d if d <= most else None
 
+    def stands_for(self, a: str, b: str) -> bool:
+        """Whether two unequal words agree without an error of typing: initials, short forms, nicknames."""
+        return len(a) == 1 or len(b) == 1 or self.short_of(a, b) or self.short_of(b, a) or bool(set(_NICK.get(a, ())) & set(_NICK.get(b, ())))
+
     def droppable(self, w: str, last: bool) -> bool:
         if w in LEGAL or w in FILLERS:
             return True
@@ -247,7 +236,7 @@ class Align:
                 ra.remove(w)
                 rb.remove(w)
                 met += 1
-        total = 0
+        total, typed, twice = 0, 0, 0
         for w in sorted(ra, key=lambda w: (len(w) == 1, w)):
             options = [(cost, v) for v in rb if (cost := self.same(w, v, 1 if self.known(w) or self.known(v) else 2)) is not None]
             if options:
@@ -256,12 +245,18 @@ class Align:
                 rb.remove(v)
                 total += cost
                 met += 1
-        # A blank lost or gained: one word against two.
-        for x, y in ((ra, rb), (rb, ra)):
+                typed += not self.stands_for(w, v)
+                twice += cost > 1
+        # Two errors in a word ask for another word that is sure, and for no error elsewhere.
+        if twice and (typed > 1 or max(len(sure_words(self, a)), len(sure_words(self, b))) < 2):
+            return False
+        # A blank lost or gained: one word against two neighbours, without another error.
+        for x, y, order in ((ra, rb, self.core(b)), (rb, ra, self.core(a))):
+            after = dict(zip(order, order[1:]))
             for w in list(x):
                 for u in list(y):
-                    v = next((v for v in y if v is not u and len(u) + len(v) >= 6 and edits(w, u + v, 1) <= 1), None)
-                    if v is not None:
+                    v = after.get(u)
+                    if v is not None and v != u and v in y and len(u) + len(v) >= 6 and w == u + v:
                         x.remove(w)
                         y.remove(u)
                         y.remove(v)
@@ -270,7 +265,7 @@ class Align:
         # The end of a long name cut off, within a word or before the last one.
         for x, y, words, last in ((ra, rb, a, last_a), (rb, ra, b, last_b)):
             cut_off = False
-            if last in x and sum(map(len, words)) >= 14:
+            if last in x and sum(map(len, words)) >= LONG:
                 # Of numbers only a date can be told from another number when cut.
                 v = next((v for v in y if v.startswith(last) and v != last and (not last.isdigit() or len(v) == 8)), None)
                 if v is not None:
@@ -300,149 +295,270 @@ class Align:
 # --- operator ---------------------------------------------------------------------------------
 
 
-def _deletions(word: str, n: int, established: int) -> list[str]:
-    """Keys of which words within the edits ``Align.same`` allows share one: the word without up to so many letters."""
-    wide = ord(word[0]) > 0x2E7F
-    if word[0].isdigit() or len(word) < (5 if wide else 4):
-        return []
+def _batch(columns: list[list], names: str, kinds: str) -> pa.RecordBatch:
+    types = {"s": pa.string(), "l": pa.int64(), "i": pa.int32()}
+    return pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(columns, kinds)], names=names.split())
+
 
-    def without(words: set[str]) -> set[str]:
-        return {w[:i] + w[i + 1 :] for w in words for i in range(len(w))}
+def _rn(w: str) -> list[str]:
+    """What two letters that look like one make of a word."""
+    return [w.replace("rn", "m")] if "rn" in w else []
 
-    out = {word} | (once := without({word}))
-    if len(word) >= 7 and not wide and n < established:
-        out |= without(once)
-    if "rn" in word:
-        out |= {m := word.replace("rn", "m")} | without({m})
-    return list(out)
 
+def _marks(w: str) -> list[str]:
+    """What a word can stand for without edits: itself, its nickname classes, a single letter as an initial."""
+    return [w, *(f"#{k}" for k in _NICK.get(w, ())), *([f"^{w}"] if len(w) == 1 else [])]
 
-def _probes(spell: str) -> list[str]:
-    """Words of a name that any match must cover; if no word is sure to need that, all of them."""
-    align, words = Align(1), spell.split(" ")
-    core, last = align.core(words), words[-1]
-    long = sum(map(len, words)) >= 14
-    sure = [w for w in core if len(w) > 1 and not w[0].isdigit() and w not in INSTITUTIONS and not (long and w == last) and not align.droppable(w, w == last)]
-    return [f"!{w}" for w in sure] or core
 
+def sure_words(align: "Align", words: list[str]) -> list[str]:
+    """The words of a name that any match must cover."""
+    last = words[-1]
+    return [w for w in dict.fromkeys(align.core(words)) if len(w) > 1 and not w[0].isdigit() and w not in INSTITUTIONS and not align.droppable(w, w == last)]
 
-def _alike(established: int):
-    """Rows (a, b, n_a, n_b) of words -> (word, near), both ways, of those that can stand for each other."""
+
+def _entries(words: list[str], core: list[str]) -> list[tuple[int, int, str]]:
+    """(first place, last place, unit) of all that can cover a word of another name."""
+    out = [(i, i, u) for i, w in enumerate(core) for u in _marks(w) + _rn(w)]
+    out += [(i, i + 1, u + v) for i, (u, v) in enumerate(zip(core, core[1:])) if len(u) + len(v) >= 6]
+    if core and core[-1] == words[-1] and sum(map(len, words)) >= LONG:
+        out.append((len(core) - 1, len(core) - 1, f"\t{words[-1]}"))
+    return out
+
+
+def _keys(known: frozenset[str]):
+    """(h, spell, cs) -> (kind, h, x, y): what each list offers and asks for, as pairs or, with one sure word, singly.
+
+    A match covers all sure words of both names, so one pair of them, the two rarest, finds every match; the other
+    name offers all its pairs. Lists of more than ``MANY`` words are compared by single words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        align = Align(1, known)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                batch = whole.slice(start, 2000)
+                out: list[list] = [[], [], [], []]
+
+                def put(kind: str, h: int, x: str, y: str) -> None:
+                    for c, v in zip(out, (kind, h, x, y)):
+                        c.append(v)
+
+                for h, spell, cs in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                    words = spell.split(" ")
+                    n = dict(zip(words, cs))
+                    core = align.core(words)
+                    sure = sorted(sure_words(align, words), key=lambda w: (n[w], w))
+                    entries = _entries(words, core)
+                    if len(core) <= 2 * MANY:
+                        for i, j, x in entries:
+                            if not x.startswith("\t"):
+                                for k, m, y in entries:
+                                    if j < k or m < i:
+                                        put("offer", h, x, y)
+                    if len(sure) > 1 and len(core) <= MANY:
+                        put("ask", h, sure[0], sure[1])
+                    else:
+                        for w in sure[:1] or dict.fromkeys(core or words):
+                            put("ask one", h, w, "")
+                    if len(sure) < 2 or len(core) > MANY // 2:
+                        for _, _, x in entries or [(0, 0, w) for w in words]:
+                            put("offer one", h, x, "")
+                    else:
+                        for i, j, x in entries:
+                            if i < j:
+                                put("offer one", h, x, "")
+                yield _batch(out, "kind h x y", "slss")
+
+    return run
+
+
+def _near_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, word) sorted by shard -> (word, near) within one edit, both ways, one shard's trie at a time."""
+    out: list[list] = [[], []]
+    shard, trie = None, {}
+    for batch in batches:
+        for s, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if s != shard:
+                shard, trie = s, {}
+            # Each word meets those before it, so every pair of the shard is seen once.
+            for v in within(trie, w, 1) if trie else ():
+                out[0] += (w, v)
+                out[1] += (v, w)
+            _insert(trie, w)
+        if len(out[0]) > 100_000:
+            yield _batch(out, "word near", "ss")
+            out = [[], []]
+    yield _batch(out, "word near", "ss")
+
+
+def _alike(known: frozenset[str]):
+    """Rows (a, b, n_a, n_b) of near words -> those that can stand for each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = Align(established)
+        align = Align(1, known)
         for batch in batches:
-            left, right = [], []
+            keep = []
             for a, b, m, n in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 align.counts = {a: m, b: n}
-                if align.same(a, b, 1 if align.known(a) or align.known(b) else 2) is not None:
-                    left += (a, b)
-                    right += (b, a)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], names=["word", "near"])
+                keep.append(align.same(a, b, 1) is not None)
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     return run
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (w, u, v) whose w is u and v without a blank, within one edit."""
-    for batch in batches:
-        keep = [edits(w, u + v, 1) <= 1 for w, u, v in zip(*(batch.column(k).to_pylist() for k in range(3)))]
-        yield batch.filter(pa.array(keep, pa.bool_()))
+def _meet(known: frozenset[str]):
+    """Rows (shard, asks, text, n, key, most), sorted, a shard's offers before what asks -> (key asking, key offered).
+
+    The offered partners of one anchor are a trie; each asking word walks it with its automaton. ``most`` is the
+    number of edits the word may have, -1 for a form that is taken as it stands.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        align = Align(1, known)
+        shard, trie, offers = None, {}, {}
+        out: list[list] = [[], []]
+
+        def hit(mine: int, theirs: list[tuple[int, int]]) -> None:
+            for key, _ in theirs:
+                out[0].append(mine)
+                out[1].append(key)
+
+        for batch in batches:
+            for s, asks, text, n, key, most in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if s != shard:
+                    shard, trie, offers = s, {}, {}
+                if not asks:
+                    offers.setdefault(text, []).append((key, n))
+                    if text[:1] not in "\t#^":
+                        _insert(trie, text)
+                    continue
+                if most < 0:
+                    hit(key, offers.get(text, ()))
+                    continue
+                forms = set(_marks(text))
+                if text in known:
+                    forms.add(f"^{text[0]}")
+                forms |= {u for i in range(1, len(text)) if (u := f"\t{text[:i]}") in offers}
+                k = 0 if len(text) < 4 else 1 if most < 2 or len(text) < 6 or text in known else 2
+                near = set(within(trie, text, k)) if k else set()
+                for m in _rn(text) if k else ():
+                    near |= set(within(trie, m, k - 1))
+                for u in near - forms:
+                    align.counts = {text: n, u: offers[u][0][1]}
+                    if align.same(text, u, most) is not None or any(u == v for v in _rn(text)) or "m" in u and "rn" in text + u:
+                        forms.add(u)
+                for u in forms:
+                    hit(key, offers.get(u, ()))
+            if len(out[0]) > 100_000:
+                yield _batch(out, "mine theirs", "ll")
+                out = [[], []]
+        yield _batch(out, "mine theirs", "ll")
+
+    return run
 
 
 def _halves(c: Column) -> Column:
     """Shards of a word: one edit leaves the first or the last half of the shorter word intact."""
     n = F.length(c)
-    out = [F.xxhash64(F.lit(side), half, F.left(c, half) if side == "<" else F.right(c, half)) for half in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")) for side in "<>"]
+    out = [F.concat(F.lit(side), F.left(c, half) if side == "<" else F.right(c, half)) for half in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")) for side in "<>"]
     return F.array_distinct(F.array(*out))
 
 
-def ways(lists: DataFrame, counts: DataFrame, established: int) -> tuple[DataFrame, DataFrame]:
-    """(covers, index): (word, key) of all keys that can cover a word, and (key, h) of the keys each list offers.
+def established_words(lists: DataFrame, counts: DataFrame, share: float, least: int, partners: int) -> list[str]:
+    """The words that stand on their own: in at least this share of all lists, beside that many partners.
 
-    ``lists(h, spell, ws)``, ``counts(word, n)``. A key is a word, a joined word, or a name's last word (behind
-    a tab), which may be a word cut off. Whatever ``Align.match`` lets stand for a word of one name is a key of the other.
+    A share of the lists means the same at every size, and holds the result to (words a list) / share words. Partners
+    are counted by their effective number (square of the sum over sum of squares), which an entity with many
+    spellings does not raise.
     """
-    from pyspark.sql.functions import arrow_udf
-
-    spark = lists.sparkSession
+    total = lists.count()
+    most = max(least, share * total)
+    common = counts.filter(F.col("n") >= most).filter(F.length("word") > 1).select("word")
     ignored = F.array(*[F.lit(w) for w in sorted(LEGAL | FILLERS)])
-    core = F.filter("ws", lambda w: ~F.array_contains(ignored, w))
-
-    @arrow_udf("array<string>")
-    def deletions(words: pa.Array, n: pa.Array) -> pa.Array:
-        return pa.array([_deletions(w, k, established) for w, k in zip(words.to_pylist(), n.to_pylist())], pa.list_(pa.string()))
-
-    words = counts.filter(~F.array_contains(ignored, F.col("word")))
-    known = words.filter(F.col("n") >= established).filter(F.length("word") > 1)
-    # Typing errors: a shared rest after deletions. Short forms: the letters of an established word with the same first one.
-    typed = words.select("word", "n", F.explode(deletions("word", F.col("n").cast("long"))).alias("key")).select("word", "n", F.xxhash64("key").alias("key"), F.length("word").alias("l"))
-    typed = cut(typed)
-    close = typed.alias("x").join(typed.alias("y"), F.expr("x.key = y.key and x.word < y.word and abs(x.l - y.l) <= 3")).selectExpr("x.word a", "y.word b", "x.n m", "y.n n").distinct()
-    # Letters left out: as many edits as letters.
-    short = words.alias("x").join(F.broadcast(known).alias("y"), F.expr("left(x.word, 1) = left(y.word, 1) and length(x.word) between 2 and length(y.word) - 1 and (length(x.word) >= 3 and startswith(y.word, x.word) or length(x.word) <= 0.7 * length(y.word) + 1 and (right(x.word, 1) = right(y.word, 1) or length(x.word) >= 4) and levenshtein(x.word, y.word) = length(y.word) - length(x.word))"))
-    near = close.mapInArrow(_alike(established), "word string, near string")
-    near = near.unionByName(short.selectExpr("x.word", "y.word near")).unionByName(short.selectExpr("y.word", "x.word near"))
-    fixed = {(a, b) for g in NICKNAMES for a in g for b in g if a != b} | set(SHORT_FORMS.items()) | {(b, a) for a, b in SHORT_FORMS.items()}
-    near = near.unionByName(spark.createDataFrame(sorted(fixed), "word string, near string"))
-    initial = F.left("word", F.lit(1))
-    near = near.unionByName(known.select("word", initial.alias("near"))).unionByName(known.select(initial.alias("word"), F.col("word").alias("near")))
-    # A blank lost or gained, between any two words of a name.
-    at = lists.select("h", F.posexplode(core).alias("i", "u"))
-    two = cut(at.join(at.select("h", F.col("i").alias("j"), F.col("u").alias("v")), "h").filter("i <> j and length(u) + length(v) >= 6").select("h", "u", "v").distinct())
-    half = words.filter(F.length("word") >= 5).select("word", F.explode(_halves(F.col("word"))).alias("half"), F.length("word").alias("l"))
-    joins = two.select("u", "v").distinct().withColumn("half", F.explode(_halves(F.concat("u", "v"))))
-    joins = joins.join(half, "half").filter("abs(l - length(u) - length(v)) <= 1").select("word", "u", "v").distinct()
-    joins = cut(joins.mapInArrow(_joined, "word string, u string, v string"))
-    parts = joins.select(F.explode(F.array("u", "v")).alias("word"), F.col("word").alias("near"))
-    # A last word may be the start of a word.
-    lasts = lists.filter(F.aggregate("ws", F.lit(0), lambda n, w: n + F.length(w)) >= 14).select("h", F.element_at("ws", -1).alias("word")).filter(~F.array_contains(ignored, F.col("word")))
-    starts = words.filter(F.length("word") > 1).select("word", F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("k")).select("word", F.expr("left(word, k)").alias("last"))
-    ends = starts.join(lasts.select(F.col("word").alias("last")).distinct(), "last")
-    cuts = ends.select("word", F.concat(F.lit("\t"), "last").alias("near"))
-    only = lists.select(F.explode(probe_words(F.col("spell"))).alias("last")).filter("not startswith(last, '!')").distinct()
-    cuts = cuts.unionByName(ends.join(only, "last").select(F.col("last").alias("word"), F.col("word").alias("near")))
-    covers = words.select("word", F.col("word").alias("near")).unionByName(near).unionByName(parts).unionByName(cuts).withColumnRenamed("near", "key").distinct()
-    index = at.select(F.col("u").alias("key"), "h").unionByName(two.join(joins, ["u", "v"]).select(F.col("word").alias("key"), "h")).unionByName(lasts.select(F.concat(F.lit("\t"), "word").alias("key"), "h")).distinct()
-    return cut(covers), cut(index)
-
-
-def candidate_pairs(lists: DataFrame, counts: DataFrame, established: int, hot: int = HOT) -> DataFrame:
-    """(ha, hb), ha < hb: all pairs of lists that ``Align.match`` may accept.
-
-    A match covers every word of both names but legal forms and cut ends. So each list looks up one word that must
-    be covered, the one that the fewest lists can cover; where more than ``hot`` can, a second word must be covered too.
-    A list without such a word looks up all its words.
-    """
-    covers, index = ways(lists, counts, established)
-    sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    cost = cut(covers.join(sizes, "key").groupBy("word").agg(F.sum("m").alias("cost")))
-    probes = lists.select("h", F.explode(probe_words(F.col("spell"))).alias("p")).select("h", F.expr("startswith(p, '!') and p <> '!'").alias("sure"), F.regexp_replace("p", "^!", "").alias("word"))
-    probes = probes.join(cost, "word").groupBy("h", "sure").agg(F.array_sort(F.collect_set(F.struct("cost", "word"))).alias("r"))
-    probes = cut(probes.withColumn("two", F.expr(f"sure and size(r) > 1 and r[0].cost > {hot}")))
-    single = probes.filter("not two").select("h", F.explode(F.when(F.col("sure"), F.slice("r", 1, 1)).otherwise(F.col("r"))).alias("x")).select("h", F.col("x.word").alias("word"))
-    found = single.join(covers, "word").select("h", "key").join(index.withColumnRenamed("h", "other"), "key").select("h", "other")
-    double = probes.filter("two").select("h", F.expr("r[0].word").alias("w1"), F.expr("r[1].word").alias("w2"))
-    wanted = double.select("w1", "w2").distinct()
-    able = [wanted.select(F.col(w).alias("word")).distinct().join(covers, "word").join(index, "key").select(F.col("word").alias(w), F.col("h").alias("other")).distinct() for w in ("w1", "w2")]
-    both = able[0].join(able[1], "other").join(wanted, ["w1", "w2"], "left_semi")
-    found = found.unionByName(double.join(both, ["w1", "w2"]).select("h", "other"))
-    return found.filter("h <> other").select(F.least("h", "other").alias("ha"), F.greatest("h", "other").alias("hb")).distinct()
+    core = lists.select("h", F.array_distinct(F.filter("ws", lambda w: ~F.array_contains(ignored, w))).alias("core"))
+    held = core.select("h", "core", F.explode("core").alias("word")).join(common, "word")
+    # A very long list is one list all the same: its words are each other's partners once.
+    beside = held.select("word", F.explode("core").alias("other")).filter("word <> other").groupBy("word", "other").agg(F.count(F.lit(1)).alias("c"))
+    effective = beside.groupBy("word").agg((F.pow(F.sum("c"), F.lit(2)) / F.sum(F.col("c") * F.col("c"))).alias("e"))
+    legal = counts.filter(F.col("word").isin(sorted(LEGAL | FILLERS))).filter(F.col("n") >= most).select("word")
+    return sorted(r[0] for r in effective.filter(F.col("e") >= partners).select("word").unionByName(legal).collect())
 
 
-def probe_words(spell: Column) -> Column:
-    from pyspark.sql.functions import arrow_udf
+def candidate_pairs(lists: DataFrame, counts: DataFrame, established: int | frozenset[str], block: int = BLOCK) -> DataFrame:
+    """(ha, hb), ha < hb: all pairs of ``lists(h, spell, ws)`` that ``Align.match`` may accept.
 
-    @arrow_udf("array<string>")
-    def probes(spells: pa.Array) -> pa.Array:
-        return pa.array([_probes(s) for s in spells.to_pylist()], pa.list_(pa.string()))
-
-    return probes(spell)
-
-
-def _checked(established: int, contradiction: bool):
+    The two rarest sure words of a name are looked up in the names of the other side: one of them is the anchor (as it
+    stands, as a nickname, initial or short form, or within one edit), and the partners of each anchor form a trie
+    that the other word walks. An anchor with more than ``block`` partners is split, and so is what asks for it.
+    """
+    spark = lists.sparkSession
+    known = established if isinstance(established, frozenset) else frozenset(r[0] for r in counts.filter(F.col("n") >= established).select("word").collect())
+    numbers = lists.select("h", "spell", F.posexplode("ws").alias("at", "word")).join(counts, "word").groupBy("h", "spell").agg(F.array_sort(F.collect_list(F.struct("at", F.col("n").cast("int").alias("n")))).alias("m"))
+    keys = cut(numbers.select("h", "spell", F.col("m.n").alias("cs")).mapInArrow(_keys(known), "kind string, h long, x string, y string"))
+
+    def of(kind: str) -> DataFrame:
+        return keys.filter(F.col("kind") == kind)
+
+    number = counts.select("word", F.col("n").cast("int").alias("n"))
+    # Words within one edit of each other, by tries of the words that share a half.
+    single = of("offer one").select(F.col("x").alias("word")).unionByName(counts.select("word")).distinct()
+    words = single.filter("length(word) >= 4 and not word rlike '^[0-9\\t#^]'")
+    with_rn = words.select("word", F.explode(F.when(F.col("word").contains("rn"), F.array("word", F.regexp_replace("word", "rn", "m"))).otherwise(F.array("word"))).alias("form"))
+    shards = with_rn.select("form").distinct().select(F.explode(_halves(F.col("form"))).alias("shard"), F.col("form").alias("word"))
+    near = shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(_near_words, "word string, near string").distinct()
+    same_form = with_rn.filter("word <> form").select("word", F.col("form").alias("near")).distinct()
+    back = with_rn.filter("word <> form").select(F.col("form").alias("word"), F.col("word").alias("near"))
+    near = near.unionByName(same_form).unionByName(back).unionByName(near.join(back.select(F.col("word").alias("near"), F.col("near").alias("o")), "near").select("word", F.col("o").alias("near"))).distinct()
+    one = F.coalesce("n", F.lit(1))
+    rated = near.join(number.withColumnRenamed("n", "m"), "word").join(number.withColumnRenamed("word", "near"), "near", "left").select("word", "near", "m", one.alias("n"))
+    near = cut(rated.mapInArrow(_alike(known), "word string, near string"))
+    # Short forms: the letters of an established word with the same first one, as many edits as letters left out.
+    lexicon = spark.createDataFrame([(w,) for w in sorted(known - LEGAL - FILLERS)], "long_word string")
+    short = number.join(F.broadcast(lexicon), F.expr("left(word, 1) = left(long_word, 1) and length(word) between 2 and length(long_word) - 1 and (length(word) >= 3 and startswith(long_word, word) or length(word) <= 0.7 * length(long_word) + 1 and (right(word, 1) = right(long_word, 1) or length(word) >= 4) and levenshtein(word, long_word) = length(long_word) - length(word))")).select("word", F.col("long_word").alias("alt"))
+    fixed = spark.createDataFrame(sorted(SHORT_FORMS.items()), "word string, alt string")
+    short = short.unionByName(fixed)
+    short = cut(short.unionByName(short.select(F.col("alt").alias("word"), F.col("word").alias("alt"))).distinct())
+    nick = spark.createDataFrame([(w, f"#{k}") for w, ks in sorted(_NICK.items()) for k in ks], "word string, alt string")
+    initial = lexicon.select(F.col("long_word").alias("word"), F.concat(F.lit("^"), F.left("long_word", F.lit(1))).alias("alt"))
+    alts = short.unionByName(nick).unionByName(initial).withColumn("most", F.lit(2)).unionByName(near.select("word", F.col("near").alias("alt"), F.lit(1).alias("most")))
+
+    # Pairs.
+    asks = of("ask").select("h", "x", "y", F.xxhash64("x", "y").alias("mine"))
+    pairs = asks.select("x", "y", "mine").distinct()
+    turned = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"), "mine"))
+    stands = turned.select(F.col("x").alias("anchor"), "y", "mine", F.lit(2).alias("most"))
+    other = turned.join(alts.withColumnRenamed("word", "x"), "x").select(F.col("alt").alias("anchor"), "y", "mine", "most")
+    wanted = stands.unionByName(other)
+    shorter = wanted.filter("most = 2").join(short.withColumnRenamed("word", "y"), "y").select("anchor", F.col("alt").alias("y"), "mine", F.lit(-1).alias("most"))
+    wanted = cut(wanted.unionByName(shorter).join(number.withColumnRenamed("word", "y"), "y", "left").select("anchor", "y", one.alias("n"), "mine", "most"))
+    offers = of("offer").select("h", F.col("x").alias("anchor"), "y", F.xxhash64("x", "y").alias("theirs"))
+    offered = offers.select("anchor", "y", "theirs").distinct().join(wanted.select("anchor").distinct(), "anchor", "left_semi")
+    offered = cut(offered.join(number.withColumnRenamed("word", "y"), "y", "left").select("anchor", "y", one.alias("n"), "theirs"))
+    sizes = offered.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).join(wanted.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / (10 * block)).cast("int").alias("parts")), "anchor")
+
+    def shard(df: DataFrame, mine: str, size: str, others: str) -> DataFrame:
+        """Each row in its own block (or part) and in all parts (or blocks) of the other side."""
+        own = F.pmod(F.xxhash64("y"), F.col(size)).cast("int")
+        spread = df.join(sizes, "anchor").withColumn("own", own).withColumn("all", F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+        place = F.concat_ws("\n", "anchor", "own", "all") if mine == "offer" else F.concat_ws("\n", "anchor", "all", "own")
+        return spread.withColumn("shard", place)
+
+    left = shard(offered, "offer", "blocks", "parts").select("shard", F.lit(0).alias("asks"), F.col("y").alias("text"), "n", F.col("theirs").alias("key"), F.lit(0).alias("most"))
+    right = shard(wanted, "ask", "parts", "blocks").select("shard", F.lit(1).alias("asks"), F.col("y").alias("text"), "n", F.col("mine").alias("key"), "most")
+    met = left.unionByName(right).repartition("shard").sortWithinPartitions("shard", "asks").mapInArrow(_meet(known), "mine long, theirs long").distinct()
+    found = met.join(asks.select("mine", F.col("h").alias("a")), "mine").join(offers.select("theirs", F.col("h").alias("b")), "theirs").select("a", "b")
+    # Names with one sure word.
+    ask_one, offer_one = of("ask one").select(F.col("h").alias("a"), F.col("x").alias("word")), of("offer one").select(F.col("h").alias("b"), F.col("x").alias("alt"))
+    starts = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.concat(F.lit("\t"), F.substring("word", F.lit(1), i)))
+    prefix = ask_one.filter("length(word) > 1").select("a", F.explode(starts).alias("alt"))
+    stands_for = ask_one.join(alts.select("word", "alt").distinct(), "word").select("a", "alt").unionByName(ask_one.select("a", F.col("word").alias("alt"))).unionByName(prefix)
+    found = found.unionByName(stands_for.distinct().join(offer_one, "alt").select("a", "b"))
+    return found.filter("a <> b").select(F.least("a", "b").alias("ha"), F.greatest("a", "b").alias("hb")).distinct()
+
+
+def _checked(known: frozenset[str], contradiction: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = Align(established)
+        align = Align(1, known)
         for batch in batches:
             keep = []
             for a, b, ca, cb in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
@@ -454,34 +570,38 @@ def _checked(established: int, contradiction: bool):
     return run
 
 
-def variant_pairs(df: DataFrame, id_col: str = "internal_id", name_col: str = "name", established: int = ESTABLISHED) -> DataFrame:
+def variant_pairs(df: DataFrame, id_col: str = "internal_id", name_col: str = "name", share: float = SHARE, least: int = LEAST, partners: int = PARTNERS) -> DataFrame:
     """(id_a, id_b), id_a < id_b: records whose names mean one person or organisation.
 
     An id delivered twice counts once (with all its names); null names and names without a letter or digit
-    have no variants. The count of an established word is over distinct word lists of all records.
+    have no variants. Established words are those of ``established_words`` over distinct word lists of all records.
     """
     fold = NativeFold(lookalike_table(df.sparkSession))
     from amalgrid.llm.lookalikes import python_column
 
-    rows = python_column(distinct_records(df, id_col, name_col), lambda s: " ".join(name_words(s, fold)), "name", "spell").filter("spell <> ''").select("id", "spell").distinct()
+    # Garbled names are compared as they were meant.
+    restored = garbled_records(df.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")), "id", "name")
+    known_names = distinct_records(df, id_col, name_col).join(restored, ["id", "name"], "left").select("id", F.coalesce("restored", "name").alias("name"))
+    rows = python_column(known_names, lambda s: " ".join(name_words(s, fold)), "name", "spell").filter("spell <> ''").select("id", "spell").distinct()
     rows = cut(rows)
     parts = F.split("spell", " ")
     # One number per distinct word list; copies, however many, count once from here on.
     lists = cut(rows.select("spell").distinct().withColumn("h", F.xxhash64("spell")).withColumn("ws", parts))
     counts = lists.select(F.explode(F.array_distinct("ws")).alias("word"), F.array_sort("ws").alias("k")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = cut(counts)
-    candidates = candidate_pairs(lists, counts, established)
+    known = frozenset(established_words(lists, counts, share, least, partners))
+    candidates = candidate_pairs(lists, counts, known)
     numbers = lists.select("h", "spell", F.explode(F.array_distinct("ws")).alias("word")).join(counts, "word").groupBy("h", "spell").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("m"))
     texts = cut(numbers.select("h", "spell", F.transform(parts, lambda w: F.col("m")[w].cast("int")).alias("cs")))
 
     def with_texts(p: DataFrame) -> DataFrame:
         return p.join(texts.select(F.col("h").alias("ha"), F.col("spell").alias("sa"), F.col("cs").alias("ca")), "ha").join(texts.select(F.col("h").alias("hb"), F.col("spell").alias("sb"), F.col("cs").alias("cb")), "hb").select("ha", "hb", "sa", "sb", "ca", "cb")
 
-    links = cut(with_texts(candidates).mapInArrow(_checked(established, False), "ha long, hb long"))
+    links = cut(with_texts(candidates).mapInArrow(_checked(known, False), "ha long, hb long"))
     groups = connected(links.select(F.col("ha").alias("a"), F.col("hb").alias("b")))
     inside = groups.alias("x").join(groups.alias("y"), F.expr("x.root = y.root and x.node < y.node")).select(F.col("x.node").alias("ha"), F.col("y.node").alias("hb"))
     far = inside.join(links, ["ha", "hb"], "left_anti")
-    good = links.unionByName(with_texts(far).mapInArrow(_checked(established, True), "ha long, hb long"))
+    good = links.unionByName(with_texts(far).mapInArrow(_checked(known, True), "ha long, hb long"))
     spelled = rows.select("id", F.xxhash64("spell").alias("h"))
     x, y = spelled.select(F.col("h").alias("ha"), F.col("id").alias("x")), spelled.select(F.col("h").alias("hb"), F.col("id").alias("y"))
     across = good.join(x, "ha").join(y, "hb").select("x", "y")
