@@ -19,11 +19,13 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amalgrid.session import cut
+
 _WIDTH = ("<wide>", "<narrow>", "<noBreak>", "<font>")
 _UNSEEN = regex.compile(r"[\p{Cf}\p{Default_Ignorable_Code_Point}]")
 _BLANKS = re.compile(r"\s+")
-#: Scripts whose letters are looked at; larger blocks (ideographs, syllables) have no look-alikes worth a table.
-_SKIP = ((0x3400, 0x9FFF), (0xAC00, 0xD7A3), (0xD800, 0xF8FF), (0x17000, 0x1B2FF), (0x1F000, 0x1FAFF))
+#: Composed syllables decompose before they are looked up; surrogates, private and unassigned places have no look.
+_COMPOSED = range(0xAC00, 0xD7A4)
 
 _tables: dict[str, dict[int, str]] = {}
 
@@ -34,10 +36,13 @@ def lookalike_table(spark: SparkSession) -> dict[int, str]:
         return _tables["chars"]
     jvm = spark.sparkContext._jvm
     checker = jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
-    points = [p for p in range(0x21, 0x1F000) if not any(a <= p <= b for a, b in _SKIP) and unicodedata.category(chr(p))[0] in "LNPS"]
-    skeletons = checker.getSkeleton("\n".join(map(chr, points))).split("\n")
-    if len(skeletons) != len(points):
-        skeletons = [checker.getSkeleton(chr(p)) for p in points]
+    points = [p for p in range(0x21, sys.maxunicode + 1) if p not in _COMPOSED and unicodedata.category(chr(p))[0] in "LMNPS"]
+    skeletons = []
+    step = 5000
+    for at in range(0, len(points), step):
+        part = points[at : at + step]
+        found = checker.getSkeleton("\n".join(map(chr, part))).split("\n")
+        skeletons += found if len(found) == len(part) else [checker.getSkeleton(chr(p)) for p in part]
     ascii_of: dict[str, list[str]] = {}
     for p, s in zip(points, skeletons):
         if p < 0x80:
@@ -168,16 +173,16 @@ def distinct_records(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
 def same_look_pairs(df: DataFrame, id_col: str = "record_id", name_col: str = "record_name") -> DataFrame:
     """(id_a, id_b): records whose names look the same, but are not the same string.
 
-    Names are first gathered by look and spelling; only looks with two spellings go on, so the many
-    copies of one spelling are never paired. Blank and null names have no look. A look that many
-    rows share is split by AQE; what it yields is exactly the pairs asked for.
+    Spellings of one look are classes; classes are paired, not rows, and the pairs are then given their ids: many
+    copies of one spelling meet another spelling once, and never each other. Blank and null names have no look.
+    What it yields is exactly the pairs asked for.
     """
     rows = add_skeleton(distinct_records(df, id_col, name_col), "name", "look").filter("look <> ''").withColumn("spelling", squeezed(F.col("name")))
+    rows = cut(rows.select("look", "id", F.unhex(F.md5("spelling")).alias("spelling")))
     looks = rows.groupBy("look").agg(F.min("spelling").alias("low"), F.max("spelling").alias("high")).filter("low <> high").select("look")
-    mixed = rows.join(looks, "look", "left_semi").select("look", "spelling", "id")
-    a, b = mixed.alias("a"), mixed.alias("b")
-    return (
-        a.join(b, F.expr("a.look = b.look and a.id < b.id and a.spelling <> b.spelling"))
-        .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-        .distinct()
-    )
+    mixed = cut(rows.join(looks, "look", "left_semi").select(F.unhex(F.md5("look")).alias("look"), "spelling", "id").distinct())
+    classes = mixed.select("look", "spelling").distinct()
+    pairs = classes.join(classes.select("look", F.col("spelling").alias("other")), "look").filter("spelling < other").select("spelling", "other", "look")
+    left = pairs.join(mixed, ["look", "spelling"]).select("look", "other", F.col("id").alias("x"))
+    both = left.join(mixed.select("look", F.col("spelling").alias("other"), F.col("id").alias("y")), ["look", "other"])
+    return both.filter("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()

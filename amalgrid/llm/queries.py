@@ -22,12 +22,13 @@ def p2_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return copies.copy_rows(*copies.collapse(table(spark, sf, "processed_records")))
+    ledger, members = copies.collapse(table(spark, sf, "processed_records"), batch_col="batch_id", batches=4)
+    return ledger.copies(members)
 
 
 def p3_names(spark: SparkSession, sf: str) -> DataFrame:
-    ledger, _ = copies.collapse(table(spark, sf, "processed_records"))
-    return ledger.select("first_id", "first_name", "copies")
+    ledger, _ = copies.collapse(table(spark, sf, "processed_records"), batch_col="batch_id", batches=4)
+    return ledger.names()
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

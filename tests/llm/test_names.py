@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from amalgrid.llm.copies import add_keys, batch_counts, canonical, collapse, copy_rows, empty_ledger, update_ledger
+from amalgrid.llm.copies import CopyLedger, collapse
 from amalgrid.llm.lookalikes import NativeFold, lookalike_table, same_look_pairs, skeleton
 from amalgrid.llm.variants import Align, build_trie, candidate_pairs, edits, name_words, variant_pairs, within
 
@@ -40,30 +40,68 @@ def test_same_look_pairs(spark):
     assert same_look_pairs(df.limit(0)).count() == 0
 
 
+def test_marks_and_ideographs_have_looks(table):
+    for a, b in [("s\u0327", "s\u0326"), ("a\u0302", "a\u0311"), ("\u58eb", "\u571f"), ("\U0001fbf7", "7")]:
+        assert skeleton(a, table) == skeleton(b, table), (a, b)
+
+
+def test_hot_spelling_is_not_paired_with_itself(spark):
+    """A hundred thousand copies of one spelling and one disguised copy: as many pairs, not their square."""
+    from pyspark.sql import functions as F
+
+    many = spark.range(1, 100_001).select(F.col("id").alias("record_id"), F.lit("Acme Ltd").alias("record_name"))
+    df = many.unionByName(spark.createDataFrame([(0, "Аcme Ltd")], RECORDS))
+    got = same_look_pairs(df)
+    assert got.count() == 100_000 and got.filter("id_a = 0").count() == 100_000
+
+
 def test_copies(spark):
     rows = [
         (5, "Foo Bar Pty Ltd"), (3, "BAR, foo (pty) ltd."), (9, "Foo Bar Pty-Ltd"), (9, "Foo Bar Pty-Ltd"), (4, "Fоo Bar Pty Ltd"), (6, "FooBar Pty Ltd"), (7, "Foo Bár Pty Ltd"), (8, "Foo Bar 1 Pty Ltd"),
         (10, None), (11, "  "), (12, "()"), (13, "O'Neil L L C"), (14, "oneil llc"), (15, "x" * 10_000), (16, "X" * 10_000),
     ]
     ledger, members = collapse(spark.createDataFrame(rows, RECORDS))
-    assert sorted(tuple(r) for r in copy_rows(ledger, members).collect()) == [(3, 4), (3, 5), (3, 6), (3, 9), (13, 14), (15, 16)]
+    assert sorted(tuple(r) for r in ledger.copies(members).collect()) == [(3, 4), (3, 5), (3, 6), (3, 9), (13, 14), (15, 16)]
 
 
 def test_copies_with_moved_single_letters(spark):
     names = ["Korundost & Folhulble L L C", "C Korundost & Folhulble L L", "A B Smith", "B A Smith", "L Korundost", "Oneil L L C", "C, O'Neil L L", "A Smith B", "AB Smith C"]
     ledger, members = collapse(spark.createDataFrame(list(enumerate(names)), RECORDS))
-    assert sorted(tuple(r) for r in copy_rows(ledger, members).collect()) == [(0, 1), (2, 3), (2, 7), (5, 6)]
-
-
-def test_ledger_grows_by_batches(spark):
-    rows = [(i, random.Random(i).choice(["A b", "b, a", "C d", "E"])) for i in range(40)]
-    df = spark.createDataFrame(rows, "id long, name string")
-    whole = update_ledger(empty_ledger(spark), batch_counts(canonical(add_keys(df))))
-    step = empty_ledger(spark)
-    for part in (df.filter("id >= 25"), df.filter("id < 10"), df.filter("id between 10 and 24")):
-        step = update_ledger(step, batch_counts(canonical(add_keys(part))))
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, step.collect()))
-    assert sum(r.copies for r in step.collect()) == 40
+    assert sorted(tuple(r) for r in ledger.copies(members).collect()) == [(0, 1), (2, 3), (2, 7), (5, 6)]
+
+
+BATCHED = [
+    (1, "FooBar Ltd"), (2, "Foo-Bar Ltd"), (3, "Foo Bar Ltd"), (4, "ltd foo bar"), (5, "A b"), (6, "b, a"), (7, "E"), (7, "E"), (8, "e"), (9, "O Neil L L C"), (10, "L ONeil L C"), (11, None), (12, " "), (13, "E"), (5, "A b"), (5, "Other"),
+]
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [1, 2, 0]])
+def test_ledger_is_the_same_for_any_batches(spark, order, tmp_path):
+    """Names that meet only by a second key, and redelivered records, in one batch or in several."""
+    schema = "record_id long, record_name string"
+    whole = CopyLedger(spark, str(tmp_path / "whole"))
+    everyone = whole.add(spark.createDataFrame(BATCHED, schema))
+    want = sorted(map(tuple, whole.names().collect()))
+    assert (1, "FooBar Ltd", 4) in want and (5, "A b", 2) in want and (7, "E", 3) in want and sum(r[2] for r in want) == 12
+    place = str(tmp_path / "parts")
+    members = []
+    for k in order:
+        # Every batch opens the stored ledger anew, and redelivers a third of another one.
+        part = [r for i, r in enumerate(BATCHED) if i % 3 == k or i % 9 == k]
+        members.append(CopyLedger(spark, place).add(spark.createDataFrame(part, schema)))
+    again = CopyLedger(spark, place)
+    assert again.version == 3
+    assert sorted(map(tuple, again.names().collect())) == want
+    rows = sorted(map(tuple, again.copies(members[0].union(members[1]).union(members[2])).collect()))
+    assert rows == sorted(map(tuple, whole.copies(everyone).collect()))
+    assert again.add(spark.createDataFrame(BATCHED, schema)).count() == 0
+    assert sorted(map(tuple, CopyLedger(spark, place).names().collect())) == want
+
+
+def test_ledger_of_nothing(spark):
+    empty = spark.createDataFrame([], "record_id long, record_name string, node string, forms int")
+    ledger, members = collapse(empty)
+    assert ledger.names().count() == 0 and ledger.copies(members).count() == 0
 
 
 def test_automaton_against_brute_force():
