@@ -1,11 +1,12 @@
 """Evaluation passages inside training texts.
 
 A leak is a run of ``WORDS`` words of an item (or ``SIGNS`` letters or digits of a script written without
-spaces) standing in a document. Both sides are cut into windows of exactly that size, each window gets a
+spaces) standing in a document. Both sides are cut into windows of exactly that size (of the smallest passage: a
+window as long as the whole item could not find a part of it), each window gets a
 64-bit SimHash over its shingles (pairs of neighbours), and the fingerprints are indexed by ``radius + 1``
 blocks: two fingerprints within ``radius`` bits agree in at least one block, so no window within it is
-missed. A candidate is verified by the weighted similarity of its shingles and then, sign for sign, by its
-words. Equal windows have equal fingerprints, so every leak as defined is found.
+missed. A candidate is verified by the weighted similarity of its shingles and, where only equal passages
+count, by its words. Equal windows have equal fingerprints, so every leak as defined is found.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from amalgrid.session import cut
+
 WORDS, SIGNS, RADIUS = 12, 20, 3
-#: Item windows one broadcast index may hold (about 200 bytes each); more items are joined in further passes.
+#: Item windows one broadcast index may hold (about 200 bytes each, 100 MB in all); more are joined by shuffle.
 INDEX_WINDOWS = 500_000
 
 _COMMAND = regex.compile(r"\\[A-Za-z]{2,}\s*(?=\{)")
@@ -127,16 +130,13 @@ class Index:
     def __init__(self, size: int, radius: int):
         self.size, self.radius, self.owners, self.rows, self.prints = size, radius, [], [], []
 
-    def add(self, item: int, hashes: list[int]) -> None:
-        h = np.array(hashes, np.uint64)
-        starts, prints = windows(h, np.zeros(len(h), np.int64), self.size)
-        for s, p in zip(starts.tolist(), prints.tolist()):
-            self.rows.append(h[s : s + self.size])
-            self.prints.append(p)
-            self.owners.append(item)
+    def add(self, item: int, print_: int, row: bytes) -> None:
+        self.rows.append(np.frombuffer(row, np.uint64))
+        self.prints.append(print_)
+        self.owners.append(item)
 
     def close(self) -> "Index":
-        self.prints = np.array(self.prints, np.uint64)
+        self.prints = np.array(self.prints, np.int64).view(np.uint64)
         self.owners = np.array(self.owners, np.int64)
         self.rows = np.array(self.rows, np.uint64).reshape(-1, self.size)
         blocks = self.radius + 1
@@ -151,7 +151,7 @@ class Index:
             self.blocks.append((shift, mask, order, starts))
         return self
 
-    def hits(self, h: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int]]:
+    def hits(self, h: np.ndarray, owner: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
         """(owner, item) for each verified window; repeats are possible."""
         if not len(self.prints):
             return
@@ -171,8 +171,7 @@ class Index:
                 continue
             here = h[starts[mine][:, None] + np.arange(self.size)]
             there = self.rows[theirs]
-            alike = similar(here, there) >= 1
-            same = alike & (here == there).all(axis=1)
+            same = verified(here, there, threshold)
             yield from zip(owner[starts[mine[same]]].tolist(), self.owners[theirs[same]].tolist())
 
 
@@ -190,58 +189,109 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _indexes(items: DataFrame, words: int, signs: int, radius: int, most: int) -> Iterator[tuple[Index, Index]]:
-    """Word and sign indexes of at most about ``most`` windows; the driver holds one pair at a time."""
-    hashes, pair, held = Hashes(), None, 0
-    for item, text in items.select("item_id", "item_text").filter("item_id is not null and item_text is not null").distinct().toLocalIterator():
-        w, s = sequences(text, hashes)
-        pair = pair or (Index(words, radius), Index(signs, radius))
-        pair[0].add(item, w)
-        pair[1].add(item, s)
-        held += len(w) + len(s)
-        if held > most:
-            yield pair
-            pair, held = None, 0
-    if pair:
-        yield pair
+def verified(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether paired windows are as similar as asked; at 1 they have to be equal word for word."""
+    alike = similar(a, b) >= threshold
+    return alike & (a == b).all(axis=1) if threshold >= 1 else alike
+
+
+_WINDOW = "kind int, owner long, fingerprint long, words binary"
+
+
+def _cut(words: int, signs: int):
+    """(id, text) -> (kind, owner, fingerprint, words): all distinct windows of a text, of words (0) and of signs (1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 20):
+                batch = whole.slice(at, 20)
+                out: set[tuple[int, int, int, bytes]] = set()
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    for kind, (size, seq) in enumerate(zip((words, signs), sequences(text, known))):
+                        h = np.array(seq, np.uint64)
+                        starts, prints = windows(h, np.zeros(len(h), np.int64), size)
+                        out.update((kind, key, p, h[s : s + size].tobytes()) for s, p in zip(starts.tolist(), prints.view(np.int64).tolist()))
+                rows = sorted(out)
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["kind", "owner", "fingerprint", "words"])
+
+    return run
+
 
+def _verify(threshold: float):
+    """(doc, item, words of the one, words of the other) -> (doc, item) where these are alike."""
 
-def leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, signs: int = SIGNS, radius: int = RADIUS, index_windows: int = INDEX_WINDOWS) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            mine, theirs = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            # Windows of words and of signs differ in length.
+            for size in {len(m) for m in mine}:
+                at = [k for k, m in enumerate(mine) if len(m) == size and len(theirs[k]) == size]
+                a, b = (np.frombuffer(b"".join(side[k] for k in at), np.uint64).reshape(len(at), -1) for side in (mine, theirs))
+                keep[at] = verified(a, b, threshold)
+            yield batch.filter(pa.array(keep)).select([0, 1])
+
+    return run
+
+
+def _blocks(radius: int) -> str:
+    """SQL: the keys of a fingerprint's blocks."""
+    width = 64 // (radius + 1)
+    bits = min(width, 16)
+    return "array(" + ", ".join(f"struct({b} as block, shiftrightunsigned(fingerprint, {b * width}) & {(1 << bits) - 1}L as key)" for b in range(radius + 1)) + ")"
+
+
+def _joined(docs: DataFrame, held: DataFrame, words: int, signs: int, radius: int, threshold: float) -> DataFrame:
+    """The same leaks for items of any number: blocks of document windows shuffled against blocks of item windows."""
+    mine = docs.mapInArrow(_cut(words, signs), _WINDOW).withColumn("b", F.explode(F.expr(_blocks(radius))))
+    # Windows that several items share meet a document once.
+    theirs = held.groupBy("kind", "fingerprint", "words").agg(F.collect_set("owner").alias("items")).withColumn("b", F.explode(F.expr(_blocks(radius))))
+    near = mine.alias("x").join(theirs.alias("y"), F.expr(f"x.kind = y.kind and x.b = y.b and bit_count(x.fingerprint ^ y.fingerprint) <= {radius}"))
+    pairs = near.select(F.col("x.owner").alias("doc_id"), F.explode("y.items").alias("item_id"), F.col("x.words").alias("mine"), F.col("y.words").alias("theirs"))
+    return pairs.mapInArrow(_verify(threshold), "doc_id long, item_id long").distinct()
+
+
+def leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, signs: int = SIGNS, radius: int = RADIUS, threshold: float = 1.0, index_windows: int = INDEX_WINDOWS) -> DataFrame:
     """(doc_id, item_id): every document and item that share a passage, once.
 
-    The items (held-out tests, a few hundred) are measured before they are broadcast: an index takes at
-    most ``index_windows`` windows, and more items make more passes over the corpus, never a dropped one.
-    Documents are scanned once a pass without a shuffle. Null and empty texts, on either side, leak nothing.
+    A passage is a window of ``words`` words (``signs`` signs). At a ``threshold`` of 1 it stands in both word for word,
+    and every one is found, since equal windows have equal fingerprints. Below 1 a window also counts whose weighted
+    shingles are as similar as that, if the fingerprints are within ``radius`` bits; all within it are compared.
+
+    The windows of the items are counted first. Up to ``index_windows`` of them are one broadcast index, and documents
+    are scanned once without a shuffle; more are joined with the documents' windows by block, with the same result.
+    Null and empty texts, on either side, leak nothing.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
-    out = None
-    for pair in _indexes(items, words, signs, radius, index_windows):
-        shared = spark.sparkContext.broadcast([x.close() for x in pair])
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = Hashes()
-            word_index, sign_index = shared.value
-            for whole in batches:
-                for at in range(0, whole.num_rows, 200):
-                    batch = whole.slice(at, 200)
-                    found: set[tuple[int, int]] = set()
-                    bags: tuple[list, list] = ([], [])
-                    sizes: tuple[list, list] = ([], [])
-                    ids = batch.column(0).to_pylist()
-                    for text in batch.column(1).to_pylist():
-                        for bag, size, seq in zip(bags, sizes, sequences(text, known)):
-                            bag.extend(seq)
-                            size.append(len(seq))
-                    for index, bag, size in zip((word_index, sign_index), bags, sizes):
-                        owner = np.repeat(np.arange(len(ids)), size)
-                        found.update((ids[d], item) for d, item in index.hits(np.array(bag, np.uint64), owner))
-                    if found:
-                        rows = sorted(found)
-                        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["doc_id", "item_id"])
-
-        part = source.mapInArrow(run, "doc_id long, item_id long")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "doc_id long, item_id long")
-    return out.distinct()
+    tests = items.select(F.col("item_id").cast("long"), "item_text").filter("item_id is not null and item_text is not null").distinct()
+    held = cut(tests.mapInArrow(_cut(words, signs), _WINDOW).distinct())
+    if held.count() > index_windows:
+        return _joined(source, held, words, signs, radius, threshold)
+    pair = (Index(words, radius), Index(signs, radius))
+    for kind, owner, fingerprint, row in held.toLocalIterator():
+        pair[kind].add(owner, fingerprint, bytes(row))
+    shared = spark.sparkContext.broadcast([x.close() for x in pair])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                found: set[tuple[int, int]] = set()
+                bags: tuple[list, list] = ([], [])
+                sizes: tuple[list, list] = ([], [])
+                ids = batch.column(0).to_pylist()
+                for text in batch.column(1).to_pylist():
+                    for bag, size, seq in zip(bags, sizes, sequences(text, known)):
+                        bag.extend(seq)
+                        size.append(len(seq))
+                for index, bag, size in zip(shared.value, bags, sizes):
+                    owner = np.repeat(np.arange(len(ids)), size)
+                    found.update((ids[d], item) for d, item in index.hits(np.array(bag, np.uint64), owner, threshold))
+                if found:
+                    rows = sorted(found)
+                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["doc_id", "item_id"])
+
+    return source.mapInArrow(run, "doc_id long, item_id long").distinct()
