@@ -9,7 +9,6 @@ The counts are three partial aggregations; the model holds only what passes its
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,10 +31,10 @@ MODEL_ROWS = 1_000_000
 # Frequent words that tell languages of the Latin script apart.
 _FREQUENT = {
     "en": "the of and is to in that this are no it we for with not only on by from all".split(),
-    "de": "der die das und ist für den wir im am von steht gilt wurde zu etwa nicht ein auf mit".split(),
+    "de": "der die das und ist für den wir im am von sind wird zu als nicht ein auf mit".split(),
     "fr": "le la les est à des du nous dans et un une trop sont il que pour sur ce au".split(),
-    "es": "el los las es por la del se una que antes y en con para falta véase un sube media".split(),
-    "pt": "o os as é do da e nada se perdeu linhas veja um uma que por não em parece está".split(),
+    "es": "el los las es por la del se una que como y en con para lo su un más al".split(),
+    "pt": "o os as é do da e se na ao com um uma que por não em parece está".split(),
     "it": "il lo gli è di che per una con non sono della nel più alla dei questo si ha le".split(),
     "nl": "de het een van en is op te dat niet voor met zijn er aan ook als bij naar om".split(),
 }
@@ -43,24 +42,36 @@ _VOTES: dict[str, list[str]] = {}
 for _lang, _words in _FREQUENT.items():
     for _w in _words:
         _VOTES.setdefault(_w, []).append(_lang)
-_SCRIPTS = [(name, regex.compile(rf"\p{{{script}}}")) for name, script in (("ru", "Cyrillic"), ("el", "Greek"), ("hi", "Devanagari"), ("ar", "Arabic"), ("am", "Ethiopic"), ("th", "Thai"), ("lo", "Lao"), ("ja", "Hiragana"), ("zh", "Han"), ("ko", "Hangul"), ("he", "Hebrew"), ("hy", "Armenian"), ("ka", "Georgian"))]
-_OTHER = regex.compile(r"[\p{Cyrillic}\p{Greek}\p{Devanagari}\p{Arabic}\p{Ethiopic}\p{Thai}\p{Lao}\p{Hiragana}\p{Han}\p{Hangul}\p{Hebrew}\p{Armenian}\p{Georgian}]")
+_SCRIPTS = [(name, regex.compile(rf"\p{{{script}}}")) for name, script in (("ru", "Cyrillic"), ("el", "Greek"), ("hi", "Devanagari"), ("ar", "Arabic"), ("am", "Ethiopic"), ("th", "Thai"), ("lo", "Lao"), ("ja", "Hiragana"), ("zh", "Han"), ("ko", "Hangul"), ("he", "Hebrew"), ("hy", "Armenian"), ("ka", "Georgian"), ("km", "Khmer"), ("my", "Myanmar"), ("bo", "Tibetan"), ("bn", "Bengali"), ("pa", "Gurmukhi"), ("gu", "Gujarati"), ("or", "Oriya"), ("ta", "Tamil"), ("te", "Telugu"), ("kn", "Kannada"), ("ml", "Malayalam"), ("si", "Sinhala"))]
+_BY_SCRIPT = frozenset(name for name, _ in _SCRIPTS)
+#: The share of frequent words that prose of a listed language has at least.
+_LISTED = 0.15
+_OTHER = regex.compile("[" + "".join(r.pattern for _, r in _SCRIPTS) + "]")
 _LATIN = regex.compile(r"\p{Latin}")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
-def language(text: str) -> str:
-    """The language of a piece of prose: by script, and for Latin script by its most frequent words."""
+def language(text: str, declared: str | None = None) -> str:
+    """The language of a piece of prose: by script, and for Latin script by its most frequent words.
+
+    What the document declares decides between equal votes, and where too few of the words are frequent ones of
+    any language listed: other languages have statistics of their own, not those of a listed one.
+    """
     if not text.isascii() and _OTHER.search(text):
         counts = {name: n for name, r in _SCRIPTS if (n := len(r.findall(text)))}
         name = "ja" if "ja" in counts else max(counts, key=lambda k: counts[k])
         if name in ("th", "ja", "zh") or counts[name] * 2 >= len(_LATIN.findall(text)):
             return name
     votes: dict[str, int] = {}
-    for w in _WORDS.findall(text.lower()):
+    words = _WORDS.findall(text.lower())
+    for w in words:
         for lang in _VOTES.get(w, ()):
             votes[lang] = votes.get(lang, 0) + 1
-    return max(_FREQUENT, key=lambda k: votes.get(k, 0)) if votes else "en"
+    declared = declared if declared and declared != "und" and declared not in _BY_SCRIPT else None
+    best = max(_FREQUENT, key=lambda k: (votes.get(k, 0), k == declared)) if votes else declared or "en"
+    if declared and declared not in _FREQUENT and votes.get(best, 0) < _LISTED * len(words):
+        return declared
+    return best
 
 
 # --- units ------------------------------------------------------------------------------------
@@ -116,12 +127,12 @@ _OPEN, _CLOSE = "([{“„«‹「『（【《〈‘¿¡", ")]}”»›」』）
 _PAIRS = {"(": ")", "[": "]", "{": "}", "“": "”", "„": "“", "«": "»", "‹": "›", "「": "」", "『": "』", "（": "）", "【": "】", "《": "》", "〈": "〉"}
 _CLOSERS = "\"'*_`" + _CLOSE + "“"
 #: A mark that ends a sentence, what closes after it, and whether a blank or the end follows.
-_END = re.compile(rf"(\.{{2,}}|…+|[.。．｡！？!?؟।॥።፧᙮։۔;;⁇⁈⁉‽]+)([  ](?=»)|)([{re.escape(_CLOSERS)}»]*)")
+_END = re.compile(rf"(\.{{2,}}|…+|[.。．｡！？!?؟।॥።፧᙮։۔;;⁇⁈⁉‽។៕။།༎]+)([  ](?=»)|)([{re.escape(_CLOSERS)}»]*)")
 _TOKEN = regex.compile(r"\S+")
 _STRIP = "\"'`*_~" + _OPEN + _CLOSE + "“,:;!?…"
 _NUMBER = regex.compile(r"[-+]?\p{Nd}+(?:[.,:/]\p{Nd}+)*%?")
 _WIDE = "。．｡！？"
-_FINAL = "।॥።፧᙮؟۔։⁇⁈⁉‽"
+_FINAL = "।॥።፧᙮؟۔։⁇⁈⁉‽។៕။།༎"
 
 
 @lru_cache(maxsize=1 << 17)
@@ -326,7 +337,7 @@ def _prose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = cells.flatten()
             kind, start_at, end_at = (pc.struct_field(flat, f).to_pylist() for f in ("kind", "start_at", "end_at"))
             at = 0
-            for doc, text, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.list_value_length(cells).to_pylist()):
+            for doc, text, size, declared in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.list_value_length(cells).to_pylist(), batch.column(3).to_pylist()):
                 mine = range(at, at + (size or 0))
                 at += size or 0
                 if not text:
@@ -340,9 +351,9 @@ def _prose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     prose, whole_lang = text[a:b], None
                     for start, end, body in units(prose):
                         if end - body > 20:
-                            lang = language(prose[body:end])
+                            lang = language(prose[body:end], declared)
                         else:
-                            lang = whole_lang = whole_lang or language(prose)
+                            lang = whole_lang = whole_lang or language(prose, declared)
                         for c, v in zip(out, (doc, a + start, body - start, lang, prose[start:end])):
                             c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
@@ -350,7 +361,8 @@ def _prose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def prose_units(docs: DataFrame) -> DataFrame:
     """(doc_id, at, lead, lang, unit): headings, list lines and paragraphs of the text cells of all documents."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "cells")
+    declared = F.lower(F.substring_index(F.col("lang").cast("string"), "-", 1)) if "lang" in docs.columns else F.lit(None).cast("string")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "cells", declared.alias("lang"))
     return source.mapInArrow(_prose, "doc_id long, at int, lead int, lang string, unit string")
 
 
@@ -475,25 +487,6 @@ def _count_contexts(abbr: dict[str, set[str]]):
     return run
 
 
-def _llr_fixed(k: float, n: float, p0: float, p1: float) -> float:
-    def ll(p: float) -> float:
-        p = min(max(p, 1e-9), 1 - 1e-9)
-        return k * math.log(p) + (n - k) * math.log(1 - p)
-
-    return -2 * (ll(p0) - ll(p1))
-
-
-def _llr(a: float, b: float, ab: float, n: float) -> float:
-    """Dunning's ratio for b following a: a, b and both together among n."""
-    p, p1, p2 = b / n, ab / a, (b - ab) / max(n - a, 1)
-
-    def ll(k: float, m: float, q: float) -> float:
-        q = min(max(q, 1e-12), 1 - 1e-12)
-        return k * math.log(q) + (m - k) * math.log(1 - q)
-
-    return -2 * (ll(ab, a, p) + ll(b - ab, n - a, p) - ll(ab, a, p1) - ll(b - ab, n - a, p2))
-
-
 def _ll_col(k, m, q):
     q = F.least(F.greatest(q, F.lit(1e-12)), F.lit(1 - 1e-12))
     return k * F.log(q) + (m - k) * F.log(1 - q)
@@ -519,13 +512,29 @@ def abbreviations(prose: DataFrame) -> DataFrame:
     return c.withColumn("score", score).filter((F.col("score") >= ABBREVIATION) & F.col("value").rlike("^[\\p{L}\\p{M}.\\-]*[\\p{L}\\p{M}]$")).select("lang", "value", "score")
 
 
-def learn(prose: DataFrame) -> DataFrame:
+def _passes(model: DataFrame, prose: DataFrame, most: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Parts of a model that one broadcast may hold, each with its prose: everything, or else language by language."""
+    sizes = {lang: n for lang, n in model.groupBy("lang").count().collect()}
+    if sum(sizes.values()) <= most:
+        yield model, prose
+        return
+    if max(sizes.values()) > most:
+        raise ValueError(f"a language's model has more than {most} rows; raise model_rows and the executors' memory")
+    for lang in sorted(r[0] for r in prose.select("lang").distinct().collect()):
+        yield model.filter(F.col("lang") == lang), prose.filter(F.col("lang") == lang)
+
+
+def learn(prose: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     """(lang, kind, value): the model of ``prose_units``: kinds abbr, start, pair, lower, inner."""
     abbr = cut(abbreviations(prose))
-    known: dict[str, set[str]] = {}
-    for lang, value in abbr.select("lang", "value").toLocalIterator():
-        known.setdefault(lang, set()).add(value)
-    counts = prose.mapInArrow(_count_contexts(known), "lang string, kind string, value string, n long").groupBy("lang", "kind", "value").agg(F.sum("n").cast("double").alias("n"))
+    found = None
+    for rows, part in _passes(abbr, prose, model_rows):
+        known: dict[str, set[str]] = {}
+        for lang, value in rows.select("lang", "value").toLocalIterator():
+            known.setdefault(lang, set()).add(value)
+        seen = part.mapInArrow(_count_contexts(known), "lang string, kind string, value string, n long")
+        found = seen if found is None else found.unionByName(seen)
+    counts = found.groupBy("lang", "kind", "value").agg(F.sum("n").cast("double").alias("n"))
     counts = cut(counts)
     everything = counts.filter("kind = 'all'").select("lang", "value", F.col("n").alias("n_all"))
     totals = counts.filter("kind in ('total', 'starts')").groupBy("lang").agg(F.sum(F.when(F.col("kind") == "total", F.col("n")).otherwise(0)).alias("n_total"), F.sum(F.when(F.col("kind") == "starts", F.col("n")).otherwise(0)).alias("n_starts"))
@@ -560,11 +569,9 @@ def split_corpus(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     """
     spark = docs.sparkSession
     prose = cut(prose_units(docs))
-    model = cut(learn(prose))
-    langs: list[str | None] = [None] if model.count() <= model_rows else sorted(r[0] for r in prose.select("lang").distinct().collect())
+    model = cut(learn(prose, model_rows))
     out = None
-    for only in langs:
-        mine = model if only is None else model.filter(F.col("lang") == only)
+    for mine, part in _passes(model, prose, model_rows):
         shared = spark.sparkContext.broadcast([tuple(r) for r in mine.toLocalIterator()])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -578,6 +585,6 @@ def split_corpus(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
                         ends.append(at + b)
                 yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "start_at", "end_at"])
 
-        rows = (prose if only is None else prose.filter(F.col("lang") == only)).mapInArrow(run, "doc_id long, start_at int, end_at int")
+        rows = part.mapInArrow(run, "doc_id long, start_at int, end_at int")
         out = rows if out is None else out.unionByName(rows)
-    return out if out is not None else spark.createDataFrame([], "doc_id long, start_at int, end_at int")
+    return out

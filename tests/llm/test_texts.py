@@ -51,9 +51,45 @@ def test_same_as_brute_force(spark):
     want = sorted((d, i) for d, t in docs for i, x in items if grams(t, WORDS) & grams(x, WORDS))
     assert found(spark, docs, items) == want and want
     assert found(spark, docs, items, index_windows=40) == want
+    assert found(spark, docs, items, index_windows=0) == want
     assert SIGNS == 20
 
 
+def test_edited_passages(spark):
+    """Below a threshold of 1: windows with a changed word, by the index and by the join, against all pairs."""
+    import numpy as np
+
+    from amalgrid.llm.leakage import Hashes, sequences, similar
+
+    r = random.Random(8)
+    items = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(20))) for i in range(10)]
+    docs = []
+    for d in range(60):
+        words = [f"x{r.randrange(400)}" for _ in range(30)]
+        passage = r.choice(items)[1].split()[3:15]
+        if d % 3:
+            passage[r.choice([0, 11]) if d % 3 == 1 else 6] = "changed"
+        words[10:10] = passage
+        docs.append((d, " ".join(words)))
+    known = Hashes()
+
+    def cuts(text):
+        h = sequences(text, known)[0]
+        return np.array([h[k : k + WORDS] for k in range(len(h) - WORDS + 1)], np.uint64)
+
+    want = []
+    for d, t in docs:
+        a = cuts(t)
+        for i, x in items:
+            b = cuts(x)
+            if (similar(np.repeat(a, len(b), axis=0), np.tile(b, (len(a), 1))) >= 0.8).any():
+                want.append((d, i))
+    assert len(want) > 30
+    for most in (1000, 0):
+        got = found(spark, docs, items, threshold=0.8, radius=15, index_windows=most)
+        assert set(got) <= set(want) and len(got) >= 0.9 * len(want), (len(got), len(want))
+
+
 def cut(text, model=None):
     return [text[a:b] for a, b in sentences(text, model or Model([("en", "abbr", t) for t in ("dr", "e.g", "etc", "p.m", "sec")] + [("en", "start", "however")]))]
 
@@ -68,6 +104,9 @@ def test_sentences_of_one_text():
     assert cut("## ข้อมูล\n\nผลลัพธ์ถูกต้อง กรุณารันเซลล์") == ["## ข้อมูล", "ผลลัพธ์ถูกต้อง", "กรุณารันเซลล์"]
     assert cut("यह क्यों है? काम हुआ।\nबस।") == ["यह क्यों है?", "काम हुआ।", "बस।"]
     assert cut("Γιατί είναι κενή η στήλη; Τέλος!") == ["Γιατί είναι κενή η στήλη;", "Τέλος!"]
+    assert cut("ខ្ញុំទៅផ្សារ។ គាត់នៅផ្ទះ៕") == ["ខ្ញុំទៅផ្សារ។", "គាត់នៅផ្ទះ៕"]
+    assert cut("ကျွန်တော်သွားမယ်။ သူနေတယ်။") == ["ကျွန်တော်သွားမယ်။", "သူနေတယ်။"]
+    assert cut("བོད་ཡིག། ཡི་གེ།") == ["བོད་ཡིག།", "ཡི་གེ།"]
     assert cut("„Läuft das?“, fragte er. Ja.") == ["„Läuft das?“, fragte er.", "Ja."]
     assert cut("") == [] and cut(" \n\r\n ") == []
 
@@ -76,6 +115,22 @@ def test_languages():
     assert [language(t) for t in ("The cat is on it", "Der Hund ist im Haus", "Le chat est dans la rue", "Привет всем", "ქართული ენა")] == ["en", "de", "fr", "ru", "ka"]
 
 
+def test_declared_language_helps_where_words_tell_little():
+    swedish = "Katten sitter på mattan och hunden springer en lång väg hem varje kväll"
+    assert language(swedish, "sv") == "sv" and language(swedish, None) != "sv"
+    assert language("The cat is on the mat and it is not in the house", "sv") == "en"
+    assert language("Привет всем", "en") == "ru" and language("zzz qqq", "und") == "en" and language("zzz qqq", "pl") == "pl"
+    assert language("ខ្ញុំទៅ") == "km"
+
+
+def test_models_go_language_by_language(spark):
+    kind = "array<struct<kind:string,exec_count:int,start_at:int,end_at:int>>"
+    texts = {d: t for d, t in enumerate(["The list is here. It is done.", "Der Hund ist im Haus. Das ist gut.", "Привет всем. Это конец."])}
+    df = spark.createDataFrame([(d, t, [("text", None, 0, len(t))]) for d, t in texts.items()], f"doc_id long, text string, cells {kind}")
+    whole = sorted(map(tuple, split_corpus(df).collect()))
+    assert len(whole) == 6 and sorted(map(tuple, split_corpus(df, model_rows=3).collect())) == whole
+
+
 def test_learns_from_the_corpus(spark):
     r = random.Random(4)
     name = lambda: "".join(r.choice("bdfgklmnprst") + r.choice("aeiou") for _ in range(3)).title()
