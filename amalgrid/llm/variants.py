@@ -505,7 +505,7 @@ def candidate_pairs(lists: DataFrame, counts: DataFrame, established: int | froz
     words = single.filter("length(word) >= 4 and not word rlike '^[0-9\\t#^]'")
     with_rn = words.select("word", F.explode(F.when(F.col("word").contains("rn"), F.array("word", F.regexp_replace("word", "rn", "m"))).otherwise(F.array("word"))).alias("form"))
     shards = with_rn.select("form").distinct().select(F.explode(_halves(F.col("form"))).alias("shard"), F.col("form").alias("word"))
-    near = shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(_near_words, "word string, near string").distinct()
+    near = cut(shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(_near_words, "word string, near string").distinct())
     same_form = with_rn.filter("word <> form").select("word", F.col("form").alias("near")).distinct()
     back = with_rn.filter("word <> form").select(F.col("form").alias("word"), F.col("word").alias("near"))
     near = near.unionByName(same_form).unionByName(back).unionByName(near.join(back.select(F.col("word").alias("near"), F.col("near").alias("o")), "near").select("word", F.col("o").alias("near"))).distinct()
