@@ -111,16 +111,17 @@ def windows(h: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np
     prints = np.zeros(len(starts), np.uint64)
     shingles = _mixed(h[:-1], h[1:])
     n = size - 1
-    step = 1 << 15
+    step = 1 << 12
     for low in range(0, len(starts), step):
         part = starts[low : low + step]
         first, last = part[0], part[-1] + n
-        bits = np.unpackbits(shingles[first:last].view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32)
-        sums = np.zeros((len(bits) + 1, 64), np.int32)
-        np.cumsum(bits, axis=0, out=sums[1:])
+        bits = np.unpackbits(shingles[first:last].view(np.uint8).reshape(-1, 8), axis=1)
+        # Sums may wrap around: a window's own sum, their difference, is below 256 (or they are wider).
+        sums = np.zeros((len(bits) + 1, 64), np.uint8 if n < 256 else np.int64)
+        np.cumsum(bits, axis=0, dtype=sums.dtype, out=sums[1:])
         at = part - first
         ones = sums[at + n] - sums[at]
-        prints[low : low + step] = np.packbits(ones * 2 > n, axis=1).reshape(-1, 8).copy().view(np.uint64).ravel()
+        prints[low : low + step] = np.packbits(ones > n // 2, axis=1).reshape(-1, 8).copy().view(np.uint64).ravel()
     return starts, prints
 
 
