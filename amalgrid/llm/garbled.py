@@ -328,9 +328,9 @@ BETTER = 0.5
 
 
 def _pairs_of(token: str):
-    """The letter pairs of a token with its ends."""
-    ends = F.concat(F.lit("\x02"), F.col(token), F.lit("\x03"))
-    return F.transform(F.sequence(F.lit(1), F.length(token) + 1), lambda i: F.substring(ends, i, F.lit(2)))
+    """The letter pairs of a token with its ends, in lower case: a name typed with the shift lock on is no other."""
+    ends = F.concat(F.lit("\x02"), F.lower(token), F.lit("\x03"))
+    return F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substring(ends, i, F.lit(2)))
 
 
 def _readings(texts: DataFrame, clean: DataFrame) -> DataFrame:

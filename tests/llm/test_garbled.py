@@ -31,6 +31,18 @@ def test_finds_planted_forms(spark):
         assert got[i] == want
 
 
+def test_letters_decide_not_copies(spark):
+    """Garbled words that read as words: found though they are as common as their originals; toggled case is no garbling."""
+    koi = lambda s: garble(s, (("koi8-r", "cp1251"),))
+    clean = [f"Компания {w} Торг" for w in ("Ромашка", "Ландыш", "Василек", "Мак", "Гвоздика", "Ромашково", "Компас", "Маяк")]
+    rows = [(i, n) for i, n in enumerate(clean)] + [(50 + i, koi(n)) for i, n in enumerate(clean[:6])] + [(80, "кОМПАНИЯ тОРГ"), (81, "CafÂ\xa0e Ltd"), (82, "City of Golvˆrd¸r")]
+    rows += [(90, "Möller Jürgen")]
+    df = spark.createDataFrame(rows, "record_id long, record_name string")
+    got = {r.record_id: r.restored for r in garbled_records(df).collect()}
+    assert set(got) == {50, 51, 52, 53, 54, 55, 81, 82}
+    assert got[50] == clean[0] and got[82] == "City of Golvördür"
+
+
 def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "record_id long, record_name string")
     assert garbled_records(empty).count() == 0
