@@ -87,17 +87,18 @@ def display_name(c: Column | str) -> Column:
     return designators(drop_places(strip_trading_as(c)))
 
 
-def canonical_name(c: Column | str) -> Column:
-    parts = F.transform(F.split(designators(c), " "), lambda w: F.when(w.isin(DESIGNATOR_WORDS), F.upper(w)).otherwise(title(w)))
+def canonical_name(c: Column | str, shown: Column | None = None) -> Column:
+    """``shown`` is ``designators(c)`` where that is at hand, here and below."""
+    parts = F.transform(F.split(designators(c) if shown is None else shown, " "), lambda w: F.when(w.isin(DESIGNATOR_WORDS), F.upper(w)).otherwise(title(w)))
     return trim_edges(F.array_join(parts, " "))
 
 
-def match_key_strict(c: Column | str) -> Column:
-    return trim_edges(fold(designators(c), ((r"\b(?:" + "|".join(DESIGNATOR_WORDS) + r")\b", " "), (r"[^a-z0-9]+", " "))))
+def match_key_strict(c: Column | str, shown: Column | None = None) -> Column:
+    return trim_edges(fold(designators(c) if shown is None else shown, ((r"\b(?:" + "|".join(DESIGNATOR_WORDS) + r")\b", " "), (r"[^a-z0-9]+", " "))))
 
 
-def match_key_aggressive(c: Column | str) -> Column:
-    spaced = fold(designators(c), (("&", " and "), (r"[^a-z0-9 ]+", " ")))
+def match_key_aggressive(c: Column | str, shown: Column | None = None) -> Column:
+    spaced = fold(designators(c) if shown is None else shown, (("&", " and "), (r"[^a-z0-9 ]+", " ")))
     kept = F.filter(F.split(spaced, " +"), lambda w: (w != "") & ~w.isin(STOPWORDS))
     return trim_edges(F.array_join(kept, " "))
 
@@ -117,4 +118,7 @@ def sanitise(df: DataFrame, source: str = "record_name", ascii_only: bool = Fals
     hint = route_type("norm") if model is None else final_type(route_type("norm"), *model)
     shown = display_name("norm")
     out = out.withColumns({"type_hint": hint, "display_name": shown})
-    return out.withColumns({"canonical_name": canonical_name("display_name"), "match_key_strict": match_key_strict("display_name"), "match_key_aggressive": match_key_aggressive("display_name")})
+    # The designators of the shown name are folded once for all three.
+    again = F.col("_shown")
+    made = out.withColumn("_shown", designators("display_name"))
+    return made.withColumns({"canonical_name": canonical_name("display_name", again), "match_key_strict": match_key_strict("display_name", again), "match_key_aggressive": match_key_aggressive("display_name", again)}).drop("_shown")

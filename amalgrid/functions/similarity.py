@@ -148,6 +148,11 @@ def token_overlap(a: Column, b: Column) -> Column:
     return F.when((F.size(x) == 0) & (F.size(y) == 0), F.lit(1.0)).when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(F.size(F.array_intersect(x, y)) / F.least(F.size(x), F.size(y)))
 
 
+def lower_token_overlap(a: Column | str, b: Column | str) -> Column:
+    """``token_jaccard`` of two texts as they stand, in lower case; two empty ones are 1."""
+    return token_jaccard(F.lower(col(a)), F.lower(col(b)))
+
+
 def add_features(df: DataFrame, left: str = "company1", right: str = "company2", python: bool = True) -> DataFrame:
     """``df`` with the nine features of each pair; ``python=False`` leaves out the two without a built-in form.
 

@@ -21,6 +21,11 @@ def char_ngrams(c: Column | str, n: int = 3) -> Column:
     return F.when(last < 1, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(s, i, F.lit(n))))
 
 
+def plain_trigrams(c: Column | str) -> Column:
+    """Runs of three characters of the text in lower case, without blanks around it."""
+    return char_ngrams(F.lower(col(c)), 3)
+
+
 def gram_text(c: Column | str) -> Column:
     """The form names are cut from: ASCII, no brackets, dots, bars or apostrophes, title case, a blank on each side."""
     s = F.regexp_replace(F.translate(col(c), "“”", '""'), r"[^\x00-\x7F]", "")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amalgrid.functions.pairnames import first_letter
-from amalgrid.operators.tables import dense_ids, symmetric, undirected
+from amalgrid.operators.tables import dense_ids, symmetric, undirected, undirected_best
 from amalgrid.session import cut
 
 
@@ -86,67 +88,133 @@ def two_phase(names: DataFrame, pairs: DataFrame, eps: float = 0.3, min_samples:
     return flat.join(ids, "cluster_id", "left").select("idx", F.coalesce("new_id", F.lit(-1)).cast("long").alias("cluster_id"))
 
 
-LARGEST = 4000
+#: A component of more pairs than this is merged by all tasks, round by round, and not within one.
+LARGEST = 200_000
+
+
+def _similarity(linkage: str, total: float, low: float, high: float, count: int, possible: int) -> float:
+    """Of two clusters, from the sum, least and largest of their pairs at hand; absent pairs are 0."""
+    if linkage == "average":
+        return total / possible
+    return high if linkage == "single" else low if count == possible else 0.0
 
 
-def _merge(distance: np.ndarray, threshold: float | None, k: int | None, linkage: str) -> list[int]:
-    """Flat labels of one component by nearest-pair merging with Lance-Williams updates."""
-    n = len(distance)
-    d = distance.copy()
-    np.fill_diagonal(d, np.inf)
-    size = np.ones(n)
-    group = list(range(n))
-    alive = n
-    while alive > (k or 1):
-        at = int(np.argmin(d))
-        i, j = sorted(divmod(at, n))
-        if threshold is not None and not d[i, j] < threshold:
+def _merge(n: int, pairs: list[tuple[int, int, float]], threshold: float | None, k: int | None, linkage: str) -> list[int]:
+    """Flat labels of one component by merging the nearest pair, from sparse pairs and a heap; ties by the smaller members."""
+    links: list[dict[int, tuple[float, float, float, int]]] = [{} for _ in range(n)]
+    size, into, alive = [1] * n, list(range(n)), n
+    heap = []
+    for a, b, s in pairs:
+        links[a][b] = links[b][a] = (s, s, s, 1)
+        heap.append((1 - s, min(a, b), max(a, b)))
+    heapq.heapify(heap)
+
+    def distance(a: int, b: int) -> float:
+        return 1 - _similarity(linkage, *links[a][b], size[a] * size[b])
+
+    while heap and alive > (k or 1):
+        d, a, b = heapq.heappop(heap)
+        if into[a] != a or into[b] != b or d != distance(a, b):
+            continue
+        if threshold is not None and not d < threshold:
             break
-        if linkage == "average":
-            row = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
-        else:
-            row = (np.maximum if linkage == "complete" else np.minimum)(d[i], d[j])
-        d[i], d[:, i] = row, row
-        d[j], d[:, j], d[i, i] = np.inf, np.inf, np.inf
-        size[i] += size[j]
-        group = [i if g == j else g for g in group]
-        alive -= 1
-    return group
+        into[b], alive = a, alive - 1
+        mine, theirs = links[a], links[b]
+        del mine[b], theirs[a]
+        for c, (t, lo, hi, m) in theirs.items():
+            t2, lo2, hi2, m2 = mine.get(c, (0.0, lo, hi, 0))
+            mine[c] = links[c][a] = (t + t2, min(lo, lo2), max(hi, hi2), m + m2)
+            del links[c][b]
+        links[b] = {}
+        size[a] += size[b]
+        for c in mine:
+            heapq.heappush(heap, (distance(a, c), min(a, c), max(a, c)))
+    if threshold is None or threshold > 1:
+        # What is left has nothing in common: the first two are merged, again and again.
+        rest = [i for i in range(n) if into[i] == i]
+        for b in rest[1 : 1 + max(0, alive - (k or 1))]:
+            into[b] = rest[0]
+    out = []
+    for i in range(n):
+        while into[i] != i:
+            i = into[i]
+        out.append(i)
+    return out
+
+
+def _merge_rounds(edges: DataFrame, threshold: float, linkage: str) -> DataFrame:
+    """(idx1, idx2): the merges of ``edges(idx1, idx2, s)`` below the threshold, by rounds of mutual nearest clusters.
+
+    Merging two clusters brings neither nearer to a third (for all three linkages), so pairs that are each other's
+    nearest merge in any order, all in one round. Ties go by the smaller members, as within one task.
+    """
+    now = cut(edges.select(F.col("idx1").alias("a"), F.col("idx2").alias("b"), F.lit(1).cast("long").alias("na"), F.lit(1).cast("long").alias("nb"), F.col("s").alias("t"), F.col("s").alias("lo"), F.col("s").alias("hi"), F.lit(1).cast("long").alias("m")))
+    merges = None
+    possible = F.col("na") * F.col("nb")
+    by = {"average": F.col("t") / possible, "single": F.col("hi"), "complete": F.when(F.col("m") == possible, F.col("lo")).otherwise(0.0)}[linkage]
+    while True:
+        near = now.withColumn("d", 1 - by).filter(F.col("d") < F.lit(threshold)).select("a", "b", "d", (F.col("na") + F.col("nb")).alias("n"))
+        place = F.struct("d", "a", "b", "n")
+        best = near.select(F.col("a").alias("x"), place.alias("p")).union(near.select(F.col("b").alias("x"), place.alias("p"))).groupBy("x").agg(F.min("p").alias("p"))
+        # Mutual: the pair is the nearest of both its ends.
+        made = best.groupBy("p.a", "p.b", "p.n").agg(F.count(F.lit(1)).alias("_c")).filter("_c = 2").select("a", "b", "n")
+        made = cut(made)
+        if made.isEmpty():
+            return merges if merges is not None else made.select(F.col("a").alias("idx1"), F.col("b").alias("idx2"))
+        step = made.select(F.col("a").alias("idx1"), F.col("b").alias("idx2"))
+        merges = step if merges is None else merges.unionByName(step)
+        moved = made.select(F.col("b").alias("x"), F.col("a").alias("to"), "n").unionByName(made.select(F.col("a").alias("x"), F.col("a").alias("to"), "n"))
+        for end, size in (("a", "na"), ("b", "nb")):
+            m = moved.select(F.col("x").alias(end), F.col("to").alias("_to"), F.col("n").alias("_n"))
+            now = now.join(m, end, "left").withColumns({end: F.coalesce("_to", end), size: F.coalesce("_n", size)}).drop("_to", "_n")
+        now = now.filter("a <> b")
+        turn = F.col("a") > F.col("b")
+        now = now.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(turn, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(turn, F.col("na")).otherwise(F.col("nb")).alias("nb"), "t", "lo", "hi", "m")
+        now = cut(now.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("t").alias("t"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("m").alias("m")))
 
 
 def agglomerative(nodes: DataFrame, pairs: DataFrame, distance_threshold: float | None = 0.3, n_clusters: int | None = None, linkage: str = "average", score: str = "similarity", largest: int = LARGEST) -> DataFrame:
-    """(idx, cluster_id): bottom-up merging while the linkage distance is below the threshold.
+    """(idx, cluster_id): bottom-up merging while the linkage distance is below the threshold; absent pairs are 0.
 
-    With a threshold every cluster lies in one component of closer pairs, so components are solved apart;
-    one beyond ``largest`` nodes raises instead of being cut. ``n_clusters`` overrides the threshold and
-    takes all nodes as one component, for small inputs.
+    With a threshold of at most 1 every cluster lies in one component of closer pairs, so components are solved apart:
+    one of at most ``largest`` pairs within a task, a larger one by all tasks in rounds, with the same result.
+    ``n_clusters`` overrides the threshold and takes all nodes as one component; more than ``largest`` pairs raise.
     """
     if linkage not in ("average", "complete", "single"):
         raise ValueError(f"unknown linkage {linkage!r}")
+    if n_clusters is None and not 0 <= distance_threshold <= 1:
+        raise ValueError("a distance threshold lies between 0 and 1")
     ids = nodes.select("idx").distinct()
-    edges = undirected(pairs, "idx1", "idx2").join(pairs.select(F.least("idx1", "idx2").alias("idx1"), F.greatest("idx1", "idx2").alias("idx2"), F.col(score).alias("s")).groupBy("idx1", "idx2").agg(F.max("s").alias("s")), ["idx1", "idx2"])
+    edges = undirected_best(pairs.withColumnRenamed(score, "s"), "idx1", "idx2", "s").filter("s is not null")
     if n_clusters is None:
         roots = components(edges.filter((1 - F.col("s")) < F.lit(distance_threshold)))
     else:
         roots = ids.withColumn("root", F.lit(0).cast("long"))
     roots = cut(roots)
     r1, r2 = roots.select(F.col("idx").alias("idx1"), F.col("root").alias("c1")), roots.select(F.col("idx").alias("idx2"), F.col("root").alias("c2"))
-    inside = edges.join(r1, "idx1").join(r2, "idx2").filter("c1 = c2").select(F.col("c1").alias("root"), "idx1", "idx2", "s")
-    rows = inside.unionByName(roots.select("root", F.col("idx").alias("idx1"), F.col("idx").alias("idx2"), F.lit(1.0).alias("s")))
+    inside = cut(edges.join(r1, "idx1").join(r2, "idx2").filter("c1 = c2").select(F.col("c1").alias("root"), "idx1", "idx2", "s"))
+    big = cut(inside.groupBy("root").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > largest).select("root"))
+    many = not big.isEmpty()
+    if many and n_clusters is not None:
+        raise ValueError(f"more than {largest} pairs are beyond the limit of one task")
+    small = inside.join(big, "root", "left_anti") if many else inside
+    members = roots.join(big, "root", "left_anti") if many else roots
+    rows = small.unionByName(members.select("root", F.col("idx").alias("idx1"), F.col("idx").alias("idx2"), F.lit(1.0).alias("s")))
     limit, by_number = (None if n_clusters else distance_threshold), n_clusters
 
     def solve(part: pd.DataFrame) -> pd.DataFrame:
-        members = np.sort(part["idx1"][part["idx1"] == part["idx2"]].unique())
-        if len(members) > largest:
-            raise ValueError(f"a component of {len(members)} nodes is beyond the limit of {largest}")
-        at = {m: i for i, m in enumerate(members)}
-        d = np.ones((len(members), len(members)))
-        for a, b, s in zip(part["idx1"], part["idx2"], part["s"]):
-            d[at[a], at[b]] = d[at[b], at[a]] = 1 - s
-        groups = _merge(d, limit, by_number, linkage)
+        own = part["idx1"] == part["idx2"]
+        members = np.sort(part["idx1"][own].unique())
+        pairs = part[~own]
+        a, b = np.searchsorted(members, pairs["idx1"]), np.searchsorted(members, pairs["idx2"])
+        groups = _merge(len(members), list(zip(a.tolist(), b.tolist(), pairs["s"].tolist())), limit, by_number, linkage)
         return pd.DataFrame({"idx": members, "root": [members[g] for g in groups]})
 
-    return labelled(ids, rows.groupBy("root").applyInPandas(solve, "idx long, root long"))
+    solved = rows.groupBy("root").applyInPandas(solve, "idx long, root long")
+    if many:
+        merges = _merge_rounds(inside.join(big, "root", "left_semi"), distance_threshold, linkage)
+        solved = solved.unionByName(components(merges).select(F.col("idx").cast("long").alias("idx"), F.col("root").cast("long").alias("root")))
+    return labelled(ids, solved)
 
 
 # --- quality -------------------------------------------------------------------------------------
@@ -188,6 +256,7 @@ def member_similarity(labels: DataFrame, pairs: DataFrame, score: str = "similar
     sizes = labels.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("cluster_size"))
     both = symmetric(_inside(labels, pairs, score), "idx1", "idx2", "s").groupBy(F.col("idx1").alias("idx")).agg(F.sum("s").alias("total"))
     rows = labels.join(sizes, "cluster_id").join(both, "idx", "left")
+    rows = rows.orderBy("cluster_id", "idx")
     return rows.select("idx", "cluster_id", "cluster_size", F.when(F.col("cluster_size") == 1, F.lit(1.0)).otherwise(F.coalesce("total", F.lit(0.0)) / (F.col("cluster_size") - 1)).alias("avg_similarity_in_cluster"))
 
 

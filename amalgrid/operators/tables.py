@@ -42,11 +42,27 @@ def profile(df: DataFrame, name: str) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Exact count, mean, sample deviation, minimum, quartiles and maximum."""
-    c = F.col(column)
-    return df.agg(
-        F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("lo"), F.percentile(c, F.lit(0.25)).alias("q1"), F.percentile(c, F.lit(0.5)).alias("q2"), F.percentile(c, F.lit(0.75)).alias("q3"), F.max(c).alias("hi")
-    )
+    """Exact count, mean, sample deviation, minimum, quartiles (interpolated) and maximum, as one row.
+
+    Quartiles come from running counts of the distinct values, range-partitioned: no task holds them all.
+    """
+    c = F.col("_v")
+    values = df.select(F.col(column).cast("double").alias("_v")).filter(c.isNotNull())
+    whole = values.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("lo"), F.max(c).alias("hi"))
+    upto = running_totals(values.groupBy("_v").agg(F.count(F.lit(1)).alias("_k")), [c], {"_upto": "_k"})
+    picks = []
+    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
+        place = (F.col("n") - 1) * F.lit(q)
+        for side, at in (("a", F.floor(place)), ("b", F.ceil(place))):
+            picks.append(F.min(F.when(F.col("_upto") > at, c)).alias(f"_{name}{side}"))
+    # One row.
+    marks = upto.crossJoin(F.broadcast(whole.select("n"))).agg(*picks)
+    out = whole.crossJoin(F.broadcast(marks))
+    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
+        place = (F.col("n") - 1) * F.lit(q)
+        low, high = F.col(f"_{name}a"), F.col(f"_{name}b")
+        out = out.withColumn(name, low + (high - low) * (place - F.floor(place)))
+    return out.select("n", "mean", "std", "lo", "q1", "q2", "q3", "hi")
 
 
 def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, high: float | None = None) -> DataFrame:
@@ -64,6 +80,35 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
     return df.filter(c.isNotNull()).groupBy(at.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).orderBy("bin")
 
 
+def pair_histogram(pairs: DataFrame, column: str, nodes: DataFrame, bins: int, id_col: str = "idx") -> DataFrame:
+    """(bin, n) over [0, 1] of every unordered pair of ``nodes``; a pair that ``pairs(idx1, idx2, column)`` lacks is 0.
+
+    Absent pairs are counted, never made: all pairs of n nodes less those at hand go to the first bin.
+    """
+    known = undirected_best(pairs, "idx1", "idx2", column)
+    seen = histogram(known, column, bins, 0, 1)
+    n = nodes.agg(F.count_distinct(id_col).alias("_n"))
+    held = known.agg(F.count(column).alias("_k"))
+    # One row each.
+    absent = n.crossJoin(F.broadcast(held)).select(F.lit(0).alias("bin"), (F.col("_n") * (F.col("_n") - 1) / 2 - F.col("_k")).cast("long").alias("n"))
+    return seen.unionByName(absent.filter("n > 0")).groupBy("bin").agg(F.sum("n").alias("n")).orderBy("bin")
+
+
+def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(class, precision, recall, f1, support) of each class, then their plain and their weighted mean; 0 where undefined."""
+    rows = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(F.col(label).cast("string").alias("y"), F.col(prediction).cast("string").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    sides = rows.select(F.col("y").alias("class"), F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0).alias("hit"), F.col("n").alias("support"), F.lit(0).cast("long").alias("said"))
+    sides = sides.unionByName(rows.select(F.col("p").alias("class"), F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("support"), F.col("n").alias("said")))
+    ratio = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a / b)
+    by = sides.groupBy("class").agg(F.sum("hit").alias("hit"), F.sum("support").alias("support"), F.sum("said").alias("said"))
+    by = by.withColumns({"precision": ratio(F.col("hit"), F.col("said")), "recall": ratio(F.col("hit"), F.col("support"))})
+    by = by.withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))).select("class", "precision", "recall", "f1", "support")
+    figures = ("precision", "recall", "f1")
+    plain = by.agg(*[F.avg(c).alias(c) for c in figures], F.sum("support").alias("support")).select(F.lit("macro avg").alias("class"), *figures, "support")
+    weighted = by.agg(*[ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in figures], F.sum("support").alias("support")).select(F.lit("weighted avg").alias("class"), *figures, "support")
+    return by.unionByName(plain.filter("support is not null")).unionByName(weighted.filter("support is not null"))
+
+
 def aligned_counts(df: DataFrame, first: str, second: str, key: str = "value") -> DataFrame:
     """(value, first, second): how often each value occurs in two columns, 0 where it does not."""
     a = df.groupBy(F.col(first).alias(key)).agg(F.count(F.lit(1)).alias("n_first")).filter(F.col(key).isNotNull())
@@ -168,6 +213,11 @@ def undirected(edges: DataFrame, a: str, b: str) -> DataFrame:
     return edges.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias(a), F.greatest(a, b).alias(b)).distinct()
 
 
+def undirected_best(edges: DataFrame, a: str, b: str, score: str) -> DataFrame:
+    """Each edge once, the smaller end first, with its largest score."""
+    return edges.filter(F.col(a) != F.col(b)).groupBy(F.least(a, b).alias(a), F.greatest(a, b).alias(b)).agg(F.max(score).alias(score))
+
+
 def symmetric(edges: DataFrame, a: str, b: str, *others: str) -> DataFrame:
     """Each edge in both directions."""
     return edges.select(a, b, *others).union(edges.select(b, a, *others)).distinct()
@@ -218,5 +268,24 @@ def similar_companies(pairs: DataFrame, company: str, top: int = 10, least: floa
     return mine.filter("prediction_proba is not null").select(other.alias("similar_company"), F.col("prediction_proba").alias("similarity_score")).orderBy(F.desc("similarity_score"), "similar_company").limit(top)
 
 
+def match_frame(pairs: DataFrame, top: int | None = 100, score: str = "similarity") -> DataFrame:
+    """(left_side, right_side, similarity) of ``pairs(idx1, idx2, company1, company2, score)`` in the order of the ids, the first ``top`` (all where falsy)."""
+    rows = pairs.orderBy("idx1", "idx2")
+    rows = rows.limit(top) if top else rows
+    return rows.select(F.col("company1").alias("left_side"), F.col("company2").alias("right_side"), F.col(score).alias("similarity"))
+
+
+def without_exact(pairs: DataFrame, score: str = "similarity", below: float = 0.99999) -> DataFrame:
+    """Pairs that are not the same text: those whose score is below one, but for rounding."""
+    return pairs.filter(F.col(score) < below)
+
+
+def head_and_tail(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
+    """The first and the last ``n`` rows by descending ``order``, with ``side`` (head or tail); two bounded sorts, no full one."""
+    head = df.orderBy(*[F.desc(c) for c in order]).limit(n).withColumn("side", F.lit("head"))
+    tail = df.orderBy(*[F.asc(c) for c in order]).limit(n).withColumn("side", F.lit("tail"))
+    return head.unionByName(tail)
+
+
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(n)

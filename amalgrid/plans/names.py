@@ -12,11 +12,14 @@ from amalgrid.functions.text import title
 from amalgrid.session import table
 
 CORPUS = """
-SELECT p_partkey AS record_id, concat(p_name, ' ', p_brand, CASE p_partkey % 16
+SELECT p_partkey AS record_id, concat(CASE p_partkey % 32 WHEN 30 THEN 'zzz ' WHEN 29 THEN 'The Trustee for ' ELSE '' END, p_name, ' ', p_brand, CASE p_partkey % 32
   WHEN 0 THEN ' PTY. LTD.' WHEN 1 THEN ' Proprietary  Limited' WHEN 2 THEN ' & Co (NSW)' WHEN 3 THEN ' Family Trust'
   WHEN 4 THEN ' Incorporated.' WHEN 5 THEN ' 3.25% 20300101' WHEN 6 THEN ' trading as City of Shops' WHEN 7 THEN ' L.L.C.'
   WHEN 8 THEN ' Holdings Limited' WHEN 9 THEN ' Corp' WHEN 10 THEN ' (Australia) Pty Ltd' WHEN 11 THEN ', 12/03/2021 zz'
-  WHEN 12 THEN ' - S.A. | Dept 7' WHEN 13 THEN ' GmbH' WHEN 14 THEN ' University Hospital, Intl. Svcs' ELSE '' END) AS record_name
+  WHEN 12 THEN ' - S.A. | Dept 7' WHEN 13 THEN ' GmbH' WHEN 14 THEN ' University Hospital, Intl. Svcs' WHEN 15 THEN ' 2021-03-04 Pte. Ltd.'
+  WHEN 16 THEN ' Sdn. Bhd.' WHEN 17 THEN ' Bhd.' WHEN 18 THEN ' L.L.P.' WHEN 19 THEN ' Limited Partnership 12345' WHEN 20 THEN ' 2040 Series PLC.'
+  WHEN 21 THEN ' S.R.L. 3-4-21' WHEN 22 THEN ' Aktiengesellschaft' WHEN 23 THEN ' Co., Ltd.' WHEN 24 THEN ' Co. Limited' WHEN 25 THEN ' Pty Co KG'
+  WHEN 26 THEN ' Co.' WHEN 27 THEN ' Corp Pty' WHEN 28 THEN ' P/L' WHEN 31 THEN ' Limited Liability Co. KG' ELSE '' END) AS record_name
 FROM part
 """
 
@@ -63,13 +66,13 @@ def _title(x: str) -> str:
     return rf"array_to_string(list_transform(regexp_extract_all({x}, '\p{{L}}+|[^\p{{L}}]+'), lambda w: upper(w[1]) || lower(w[2:])), '')"
 
 
-_DESIGNATE = [(r"\bproprietary\s+limited\b", "pty ltd"), (r"\bpty\.?\s*ltd\.?\b", "pty ltd"), (r"\binc(?:orporated)?\.?\b", "inc"), (r"\b(limited|ltd\.?)\b", "ltd"), (r"\bs\.?a\.?\b", "sa"), (r"\bs\.?r\.?l\.?\b", "srl"), (r"\b(?:aktiengesellschaft|ag)\b", "ag"), (r"\b(co\.?|company)\b", "co")]
+_DESIGNATE = list(cleaning.DESIGNATORS)
 _WORDS = "'pty','ltd','plc','sa','ag','llc','llp','bv','gmbh','srl','inc','co'"
 _STOP = ",".join(f"'{w}'" for w in cleaning.STOPWORDS)
 _CLEAN = f"""
 WITH corpus AS ({CORPUS}), a AS (SELECT record_id, record_name, {_trim("lower(record_name)")} AS norm FROM corpus),
 b AS (SELECT *, CASE WHEN regexp_matches(norm, '\\d{{1,2}}\\.\\d{{1,3}}%|\\b(class|series)\\s+[a-z0-9-]+|\\badr\\b|\\bamerican depositary\\b|\\b\\d{{8}}\\b') THEN 'security'
-  WHEN regexp_matches(norm, '\\b(trust|superannuation|fund)\\b') THEN 'trust'
+  WHEN regexp_matches(norm, '\\b(the trustee for|trust|superannuation|pension fund|fund)\\b') THEN 'trust'
   WHEN regexp_matches(norm, '\\b(ministry|department|council|university|hospital|city of|state of)\\b') THEN 'government' ELSE 'company' END AS type_hint,
   {_trim(_sub("regexp_replace(norm, '^the trustee for\\s+', '')", (r"\b(t/a|trading as|dba|t-as|t as)\b", " ")))} AS n1 FROM a),
 c AS (SELECT *, {_trim(_sub("n1", (r"\((?:australia|au|nsw|vic|qld|wa|sa|tas|act|nt|singapore|china|uk|usa|us|canada)\)", "")))} AS n2 FROM b),
@@ -106,11 +109,16 @@ def sanitise_records(spark, sf):
     return cleaning.sanitise(table(spark, sf, "processed_records").select("record_id", "record_name").distinct()).drop("record_name")
 
 
-_RULE_SQL = [
-    (r"\d+(?:\.\d+)?%\s+(\d)", r"\1"), (r"\d{1,2}/\d{1,2}/\d{2,4}", ""), (r"\b\d{4}-\d{2}-\d{2}\b", ""), (r"\b\d{1,2}[-.]\d{1,2}[-.]\d{2,4}\b", ""), (r"\b\d{4,}\b", ""), (r"^z{2,}\s*", ""), (r"\s+z{2,}$", ""), (r"\s*\|.*$", ""), (r"\s*\([^)]*\)", ""), (r"\s+[-–—]\s+", " "),
-    (r"\bproprietary\s+limited\b", "pty ltd"), (r"\bpty\.?\s*ltd\.?\b", "pty ltd"), (r"\bp/?l\b\.?", "pty ltd"), (r"\binc(?:orporated)?\b\.?", "inc"), (r"\bl\.?l\.?c\.?\b", "llc"), (r"\blimited\b", "ltd"), (r"\bltd\b\.?", "ltd"), (r"\bs\.?a\.?\b", "sa"), (r"\bs\.?r\.?l\.?\b", "srl"), (r"\bgmbh\b\.?", "gmbh"), (r"\bco\.?,?\s*ltd\.?", "company ltd"),
-    (r"\bcorp\b\.?", "corporation"), (r"\s*&\s*", " and "), (r"\s+", " "),
-]
+# The 32 rules without look-around: what must stay is marked with ~ first, and unmarked at the end.
+_PLAIN = {name: (p, r) for name, p, r in rules.RULES if "(?=" not in p and "(?!" not in p and "(?<" not in p}
+_AROUND = {
+    "remove_percentages": [(r"\d+(?:\.\d+)?%\s+(\d)", r"\1")],
+    "remove_long_numbers": [(r"\b(\d{3,})(\d\s*(?:series|model|type|version))", r"\1~\2"), (r"\b\d{4,}\b", "")],
+    "uk_commonwealth_limited": [(r"\blimited(\s+(?:liability|partnership))", r"lim~ited\1"), (r"\blimited\b", "ltd")],
+    "expand_co_to_company": [(r"(pty\s|pte\s|&\s)co\b", r"\1c~o"), (r"\bco(\s*(?:ltd|kg))", r"c~o\1"), (r"\bco\b\.(\s*(?:ltd|kg))", r"company.\1"), (r"\bco\b\.?", "company")],
+    "expand_corp_to_corporation": [(r"\bcorp(\s*(?:pty|ltd))", r"c~orp\1"), (r"\bcorp\b\.(\s*(?:pty|ltd))", r"corporation.\1"), (r"\bcorp\b\.?", "corporation")],
+}
+_RULE_SQL = [step for name, _, _ in rules.RULES for step in _AROUND.get(name) or [_PLAIN[name]]] + [("~", "")]
 _RULED = f"WITH corpus AS ({CORPUS}), ruled AS (SELECT record_id, trim({_sub('lower(record_name)', *_RULE_SQL)}) AS clean FROM corpus) "
 
 
@@ -211,10 +219,10 @@ scored AS (SELECT company1, company2, label,
 """
 
 
-@query(_PAIRS + "SELECT company1, company2, label, round(jaccard, 9) AS jaccard, round(cosine, 9) AS cosine, round(token_jaccard, 9) AS token_jaccard, round(token_overlap, 9) AS token_overlap FROM scored")
+@query(_PAIRS + "SELECT company1, company2, label, round(jaccard, 9) AS jaccard, round(cosine, 9) AS cosine, round(token_jaccard, 9) AS token_jaccard, round(token_overlap, 9) AS token_overlap, round(core_name_similarity, 9) AS core_name_similarity FROM scored")
 def pair_set_features(spark, sf):
     made = similarity.add_features(table(spark, sf, "labelled_pairs").select("company1", "company2", "label").distinct(), python=False)
-    return made.select("company1", "company2", "label", *[F.round(c, 9).alias(c) for c in ("jaccard", "cosine", "token_jaccard", "token_overlap")])
+    return made.select("company1", "company2", "label", *[F.round(c, 9).alias(c) for c in ("jaccard", "cosine", "token_jaccard", "token_overlap", "core_name_similarity")])
 
 
 _PART_PAIRS = f"""
@@ -318,9 +326,9 @@ def tfidf_pairs(spark, sf):
 _BOTH = _CLOSE + ", ways AS (SELECT idx1 AS idx, idx2 AS match, round(s, 6) AS s FROM pairs UNION ALL SELECT idx2, idx1, round(s, 6) FROM pairs)"
 
 
-@query(_BOTH + "SELECT idx, match, s AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY s DESC, match) AS rank FROM ways) WHERE rank <= 2")
+@query(_BOTH + "SELECT idx, match, s AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY s DESC, match) AS rank FROM ways) WHERE rank <= 100")
 def tfidf_top_matches(spark, sf):
-    return tfidf.best_matches(tfidf_pairs(spark, sf), 2)
+    return tfidf.best_matches(tfidf_pairs(spark, sf), 100)
 
 
 @query(_BOTH + "SELECT idx, list_sort(list_distinct(list(match))) AS matches FROM ways GROUP BY idx")

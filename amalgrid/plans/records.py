@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from amalgrid.session import table
 from amalgrid.sources import delimited
@@ -22,8 +23,17 @@ def p1_records(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.valid(_parsed(spark, sf)).drop("start_at")
 
 
+def p1_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists as texts of many records: how many are valid, and how many fail for which reason."""
+    texts = delimited.list_texts(table(spark, sf, "raw_records"), table(spark, sf, "source_lists"))
+    keyed = texts.select(F.struct("source_list", "block").alias("place"), "text", "delim")
+    parsed = delimited.parse_lines(keyed.select(F.to_json("place").alias("place"), "text", "delim"), "place", "text", "delim", single=False)
+    place = F.get_json_object("place", "$.source_list").alias("source_list")
+    return parsed.select(place, F.coalesce("reason", F.lit("valid")).alias("outcome")).groupBy("source_list", "outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_records": p1_records}
+    return {"p1_found": p1_found, "p1_records": p1_records, "p1_lists": p1_lists}
 
 
 # The same rules in SQL: a record's shape by one pattern per delimiter, its fields by the same pattern.

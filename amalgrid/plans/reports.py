@@ -131,8 +131,7 @@ def similar_to_first(spark, sf):
 
 @query("SELECT idx1, idx2, max(prediction_proba) AS score FROM (SELECT least(idx1, idx2) AS idx1, greatest(idx1, idx2) AS idx2, prediction_proba FROM pairwise_predictions WHERE idx1 <> idx2) GROUP BY 1, 2")
 def undirected_scores(spark, sf):
-    p = table(spark, sf, "pairwise_predictions").filter("idx1 <> idx2")
-    return p.groupBy(F.least("idx1", "idx2").alias("idx1"), F.greatest("idx1", "idx2").alias("idx2")).agg(F.max("prediction_proba").alias("score"))
+    return tables.undirected_best(table(spark, sf, "pairwise_predictions").withColumnRenamed("prediction_proba", "score"), "idx1", "idx2", "score")
 
 
 @query("SELECT idx1, idx2 FROM pairwise_predictions UNION SELECT idx2, idx1 FROM pairwise_predictions")
@@ -171,19 +170,32 @@ def open_records(spark, sf):
     return r.agg(F.count_if(F.col("group_id").isNull()).alias("without_group"), F.count_if(F.coalesce(F.size("matches"), F.lit(0)) <= 0).alias("without_match"))
 
 
-@query("SELECT a.n_nationkey AS idx1, b.n_nationkey AS idx2, a.n_name AS company1, b.n_name AS company2 FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey")
+def _suppliers(spark, sf):
+    """Names for the operators that compare all with all by definition: a list that grows, and stays small."""
+    return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("idx"), F.col("s_name").alias("company"))
+
+
+@query("SELECT a.s_suppkey AS idx1, b.s_suppkey AS idx2, a.s_name AS company1, b.s_name AS company2 FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey")
 def all_name_pairs(spark, sf):
-    return pairs.all_pairs(table(spark, sf, "nation").select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("company")))
+    return pairs.all_pairs(_suppliers(spark, sf))
 
 
-@query("SELECT a.n_nationkey AS idx1, b.n_nationkey AS idx2 FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey AND lower(a.n_name[1]) = lower(b.n_name[1])")
+@query("SELECT a.p_partkey AS idx1, b.p_partkey AS idx2 FROM part a JOIN part b ON a.p_partkey < b.p_partkey AND lower(a.p_name[1]) = lower(b.p_name[1])")
 def block_name_pairs(spark, sf):
-    return pairs.block_pairs(table(spark, sf, "nation").select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("company")))
+    return pairs.block_pairs(table(spark, sf, "part").select(F.col("p_partkey").alias("idx"), F.col("p_name").alias("company")))
+
+
+@query()
+def listed_block_pairs(spark, sf):
+    """How many pairs each first-letter block of the listed names has; a hot letter is split among tasks."""
+    names = table(spark, sf, "all_records_clean_names").filter("internal_id is not null").groupBy(F.col("internal_id").alias("idx")).agg(F.min("name").alias("company"))
+    made = pairs.block_pairs(names, keep_block=True)
+    return made.groupBy("block").agg(F.count(F.lit(1)).alias("pairs"))
 
 
-@query("SELECT a.n_nationkey AS i, b.n_nationkey AS j, levenshtein(a.n_name, b.n_name)::DOUBLE AS score FROM nation a JOIN nation b ON a.n_nationkey <> b.n_nationkey")
+@query("SELECT a.s_suppkey AS i, b.s_suppkey AS j, levenshtein(a.s_name, b.s_name)::DOUBLE AS score FROM supplier a JOIN supplier b ON a.s_suppkey <> b.s_suppkey")
 def compared_names(spark, sf):
-    return pairs.compared(table(spark, sf, "nation").select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("company")), lambda a, b: F.levenshtein(a, b).cast("double"))
+    return pairs.compared(_suppliers(spark, sf), lambda a, b: F.levenshtein(a, b).cast("double"))
 
 
 # --- rankings, ids, sets -------------------------------------------------------------------------
@@ -251,18 +263,105 @@ def log_levels(spark, sf):
     return table(spark, sf, "processing_logs").groupBy("log_level").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT label, round(count(*) / sum(count(*)) OVER (), 1) AS share FROM labelled_pairs WHERE label IS NOT NULL AND company1 IS NOT NULL AND company2 IS NOT NULL GROUP BY label")
-def split_label_shares(spark, sf):
-    """The label shares of the test part of a stratified split, which are those of all rows."""
-    rows = learning.stratified_split(learning.load_pairs(table(spark, sf, "labelled_pairs"))).filter("part = 'test'")
-    n = rows.agg(F.count(F.lit(1)).alias("n"))
-    return rows.groupBy("label").agg(F.count(F.lit(1)).alias("k")).crossJoin(F.broadcast(n)).select("label", F.round(F.col("k") / F.col("n"), 1).alias("share"))
+@query("""WITH d AS (SELECT DISTINCT * FROM labelled_pairs WHERE company1 IS NOT NULL AND company2 IS NOT NULL AND label IS NOT NULL),
+r AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY company1, company2) - 1) / nullif(count(*) OVER (PARTITION BY label) - 1, 0)::DOUBLE AS at FROM d)
+SELECT label, CASE WHEN coalesce(at, 0) < 0.2::DOUBLE THEN 'test' WHEN at < 0.2::DOUBLE + 0.1::DOUBLE THEN 'validation' ELSE 'train' END AS part, count(*) AS n FROM r GROUP BY ALL""")
+def split_label_counts(spark, sf):
+    """The exact counts of each label in each part of a stratified split of the distinct pairs."""
+    rows = learning.stratified_split(learning.load_pairs(table(spark, sf, "labelled_pairs")).distinct())
+    return rows.groupBy("label", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH d AS (SELECT DISTINCT * FROM labelled_pairs), r AS (SELECT (row_number() OVER () - 1) / (count(*) OVER () - 1)::DOUBLE AS at FROM d)
+SELECT CASE WHEN at < 0.2::DOUBLE THEN 'test' ELSE 'train' END AS part, count(*) AS n FROM r GROUP BY 1""")
+def plain_split_counts(spark, sf):
+    return learning.plain_split(table(spark, sf, "labelled_pairs").distinct()).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
 def pair_model_metrics(spark, sf):
-    """Test metrics of a boosted classifier trained on the labelled pairs."""
-    return learning.train_and_evaluate(table(spark, sf, "labelled_pairs"), rounds=10)[1]
+    """Test metrics of a boosted classifier trained on the labelled pairs, with all its rounds."""
+    return learning.train_and_evaluate(table(spark, sf, "labelled_pairs"))[1]
+
+
+_BEST = "WITH best AS (SELECT least(idx1, idx2) AS idx1, greatest(idx1, idx2) AS idx2, max(levenshtein) AS score FROM pairwise_predictions WHERE idx1 <> idx2 GROUP BY 1, 2) "
+
+
+def _best(spark, sf):
+    p = table(spark, sf, "pairwise_predictions").withColumnRenamed("levenshtein", "score")
+    return tables.undirected_best(p, "idx1", "idx2", "score")
+
+
+@query(_BEST + "SELECT idx1, idx2, score FROM best WHERE score < 0.99999::DOUBLE")
+def inexact_pairs(spark, sf):
+    return tables.without_exact(_best(spark, sf), "score")
+
+
+@query(_BEST + """SELECT * FROM (SELECT *, 'head' AS side FROM best WHERE score IS NOT NULL ORDER BY score DESC, idx1 DESC, idx2 DESC LIMIT 10) UNION ALL
+SELECT * FROM (SELECT *, 'tail' AS side FROM best WHERE score IS NOT NULL ORDER BY score, idx1, idx2 LIMIT 10)""")
+def score_ends(spark, sf):
+    return tables.head_and_tail(_best(spark, sf).filter("score is not null"), ["score", "idx1", "idx2"], 10)
+
+
+_NAMED = _BEST + ", named AS (SELECT internal_id, min(name) AS name FROM all_records_clean_names GROUP BY 1) SELECT a.name AS left_side, b.name AS right_side, score AS similarity FROM best JOIN named a ON a.internal_id = idx1 JOIN named b ON b.internal_id = idx2"
+
+
+def _named(spark, sf):
+    names = table(spark, sf, "all_records_clean_names").groupBy("internal_id").agg(F.min("name").alias("name"))
+    a, b = (names.select(F.col("internal_id").alias(f"idx{k}"), F.col("name").alias(f"company{k}")) for k in (1, 2))
+    return _best(spark, sf).join(a, "idx1").join(b, "idx2")
+
+
+@query(_NAMED)
+def match_frame(spark, sf):
+    return tables.match_frame(_named(spark, sf), None, "score")
+
+
+@query(_NAMED + " ORDER BY idx1, idx2 LIMIT 100")
+def first_matches(spark, sf):
+    return tables.match_frame(_named(spark, sf), 100, "score")
+
+
+@query(_BEST + """, n AS (SELECT count(DISTINCT internal_id) AS n FROM all_records_clean_names), k AS (SELECT count(score) AS k FROM best),
+seen AS (SELECT least(floor(score / (1.0::DOUBLE / 50)), 49)::INT AS bin, count(*) AS c FROM best WHERE score BETWEEN 0 AND 1 GROUP BY 1)
+SELECT bin, sum(c)::BIGINT AS n FROM (SELECT * FROM seen UNION ALL SELECT 0, n * (n - 1) // 2 - k FROM n, k) GROUP BY 1""")
+def pair_score_histogram(spark, sf):
+    """The scores of all pairs of listed records, those that were never scored as 0."""
+    nodes = table(spark, sf, "all_records_clean_names").select(F.col("internal_id").alias("idx"))
+    return tables.pair_histogram(_best(spark, sf), "score", nodes, 50)
+
+
+@query("""WITH x AS (SELECT (levenshtein >= 0.5)::INT AS y, prediction AS p FROM pairwise_predictions WHERE levenshtein IS NOT NULL AND prediction IS NOT NULL),
+c AS (SELECT DISTINCT y AS k FROM x UNION SELECT p FROM x),
+m AS (SELECT k, count(*) FILTER (WHERE y = k AND p = k) AS hit, count(*) FILTER (WHERE y = k) AS support, count(*) FILTER (WHERE p = k) AS said FROM c, x GROUP BY 1),
+f AS (SELECT k::VARCHAR AS class, coalesce(hit / nullif(said, 0)::DOUBLE, 0) AS precision, coalesce(hit / nullif(support, 0)::DOUBLE, 0) AS recall, coalesce(2.0 * hit / nullif(said + support, 0), 0) AS f1, support FROM m)
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), sum(support)::BIGINT FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 9), round(sum(recall * support) / sum(support), 9), round(sum(f1 * support) / sum(support), 9), sum(support)::BIGINT FROM f""")
+def match_class_report(spark, sf):
+    rows = table(spark, sf, "pairwise_predictions").filter("levenshtein is not null").select("prediction", (F.col("levenshtein") >= 0.5).cast("int").alias("label"))
+    r = tables.class_report(rows)
+    return r.select("class", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query()
+def component_shares(spark, sf):
+    """Explained and cumulative variance, and each feature's loading, of two principal components."""
+    features = ["levenshtein", "jaccard", "cosine", "hamming", "damerau_levenshtein", "editex"]
+    model, _ = learning.principal_components(table(spark, sf, "pairwise_predictions").dropna(subset=features), features)
+    # A component's sign is arbitrary.
+    rows = [(k, name, round(share, 9), round(upto, 9), round(v * v, 9)) for k, share, upto, loads in learning.component_report(model, features) for name, v in loads.items()]
+    return spark.createDataFrame(rows, "component int, feature string, explained double, cumulative double, contribution double")
+
+
+@query()
+def predicted_matches(spark, sf):
+    """Pairs of the first-letter blocks of the labelled names, scored by a model trained on the labelled pairs."""
+    labelled = table(spark, sf, "labelled_pairs")
+    model, _ = learning.train_and_evaluate(labelled, rounds=20)
+    names = tables.dense_ids(labelled.select(F.col("company1").alias("company")).union(labelled.select("company2")), "company", "idx")
+    found = learning.predict_pairs(model, names, candidates=pairs.block_pairs(names))
+    return found.filter("prediction = 1").select("idx1", "idx2", "company1", "company2", F.round("prediction_proba", 6).alias("prediction_proba"))
 
 
 @query()

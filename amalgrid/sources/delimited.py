@@ -7,10 +7,10 @@ The grammar, read by recursive descent over one text::
     quoted := '"' ('""' | any char but '"')* '"'      (followed by DELIM or END)
     bare   := (any char but '"' and DELIM)*
 
-A text may hold one record (``single=True``: line breaks are content wherever they stand) or many,
-one after the other. In the second form END is a line break outside quotes, and after a broken
-quote the parser resumes at the next *validated anchor*: a line start from which a whole record of
-the right width with a valid first field can be read.
+A text holds many records, one after the other. END is a line break outside quotes, and after a broken quote
+the parser resumes at the next *validated anchor*: a line start from which a record of the right width with a
+valid first field can be read. Where each record was delivered apart (``single=True``), the delivered starts are
+the anchors: the parser reads a batch as one text and resumes at the next of them, and line breaks are content.
 
 Defined results: a null text is one failing record with reason ``column_count``; an empty text is a
 single empty field and fails the same way; an unknown (null) delimiter is read as a comma.
@@ -138,11 +138,12 @@ def _quoted(text: str, at: int, end: int, index: int) -> tuple[str, int]:
 
 
 def _bare(text: str, at: int, end: int, delim: str, line_end: bool, index: int) -> tuple[str, int]:
+    if line_end:
+        # Within the line first: looking for a delimiter must not run through the rest of the text.
+        brk = text.find("\n", at, end)
+        end = brk if brk >= 0 else end
     stop = text.find(delim, at, end)
     stop = end if stop < 0 else stop
-    if line_end:
-        brk = text.find("\n", at, stop)
-        stop = brk if brk >= 0 else stop
     quote = text.find('"', at, stop)
     if quote >= 0:
         raise BrokenQuote(index, quote)
@@ -186,38 +187,33 @@ def _check_delim(delim: str | None) -> str:
     return delim
 
 
-def parse_record(text: str | None, delim: str | None, layout: tuple[Field, ...] = PROCESSED_RECORD) -> Parsed:
-    """The whole text as one record."""
-    if text is None:
-        return Parsed(0, 0, reason=COLUMN_COUNT, at=0)
-    delim = _check_delim(delim)
-    if '"' not in text:
-        fields = text.split(delim)
-        places, at = [], 0
-        for f in fields:
-            places.append(at)
-            at += len(f) + 1
-        return _typed(fields, places, 0, len(text), layout)
-    try:
-        fields, places, end = _record(text, 0, len(text), delim, False)
-    except BrokenQuote as e:
-        return Parsed(0, len(text), reason=QUOTING, field=layout[e.field].name if e.field < len(layout) else None, at=e.at)
-    return _typed(fields, places, 0, end, layout)
-
-
-def parse_records(text: str | None, delim: str | None, layout: tuple[Field, ...] = PROCESSED_RECORD) -> Iterator[Parsed]:
-    """All records of a text of many; after a broken quote it resumes at the next validated anchor."""
+def parse_records(text: str | None, delim: str | None, layout: tuple[Field, ...] = PROCESSED_RECORD, starts: list[int] | None = None) -> Iterator[Parsed]:
+    """All records of a text of many, each with its values or its failure.
+
+    Without ``starts`` a line break outside quotes ends a record, and after a broken quote the parser resumes at the
+    next validated anchor. ``starts`` names the places where records are known to begin (the first is 0, and a line
+    break stands before each other one): these are the anchors then, and line breaks between them are content.
+    """
     if text is None:
         yield Parsed(0, 0, reason=COLUMN_COUNT, at=0)
         return
+    if starts is None and not text:
+        return
     delim = _check_delim(delim)
-    at, end = 0, len(text)
+    end = len(text)
+    last_quote = text.rfind('"')
+
+    def record(at: int, stop: int) -> tuple[list[str], list[int], int]:
+        fields, places, after = _record(text, at, stop, delim, starts is None)
+        if starts is None:
+            fields[-1] = fields[-1].removesuffix("\r")
+        return fields, places, after
 
     def is_anchor(pos: int) -> bool:
+        if text.startswith('"', pos) and pos >= last_quote:
+            return False
         try:
-            fields, _, _ = _record(text, pos, end, delim, True)
-            if fields:
-                fields[-1] = fields[-1].removesuffix("\r")
+            fields, _, _ = record(pos, end)
             if len(fields) != len(layout):
                 return False
             layout[0].read(fields[0])
@@ -225,19 +221,61 @@ def parse_records(text: str | None, delim: str | None, layout: tuple[Field, ...]
             return False
         return True
 
-    while at < end:
+    def anchor_after(at: int) -> int:
+        """The end of what a broken quote spoilt: the line break before the next anchor, or the end."""
+        stop = text.find("\n", at, end)
+        while 0 <= stop < end and not is_anchor(stop + 1):
+            stop = text.find("\n", stop + 1, end)
+        return end if stop < 0 else stop
+
+    known = iter(starts or ())
+    at, following = (next(known), next(known, None)) if starts else (0, None)
+    while True:
+        bound = end if following is None else following - 1
         try:
-            fields, places, stop = _record(text, at, end, delim, True)
-            fields[-1] = fields[-1].removesuffix("\r")
+            fields, places, stop = record(at, bound)
             yield _typed(fields, places, at, stop, layout)
         except BrokenQuote as e:
-            stop = text.find("\n", at, end)
-            while 0 <= stop < end and not is_anchor(stop + 1):
-                stop = text.find("\n", stop + 1, end)
-            stop = end if stop < 0 else stop
+            stop = bound if starts else anchor_after(at)
             # A quote left open runs into later records; its own place is then where it opened.
             yield Parsed(at, stop, reason=QUOTING, field=layout[e.field].name if e.field < len(layout) else None, at=e.at if e.at <= stop else e.start)
-        at = text.find("\n", stop, end) + 1 if 0 <= text.find("\n", stop, end) else end
+        if starts:
+            if following is None:
+                return
+            at, following = following, next(known, None)
+        else:
+            brk = text.find("\n", stop, end)
+            at = brk + 1 if brk >= 0 else end
+            if at >= end:
+                return
+
+
+def parse_record(text: str | None, delim: str | None, layout: tuple[Field, ...] = PROCESSED_RECORD) -> Parsed:
+    """The whole text as one record."""
+    return next(parse_records(text, delim, layout, [0]))
+
+
+def parse_batch(texts: list[str | None], delims: list[str | None], layout: tuple[Field, ...] = PROCESSED_RECORD) -> list[Parsed]:
+    """Texts of one record each, read as one text per delimiter whose anchors are the places where they begin.
+
+    A broken quote spoils its own text alone; places count from the beginning of each text.
+    """
+    out: list[Parsed | None] = [None] * len(texts)
+    together: dict[str, list[int]] = {}
+    for k, (text, delim) in enumerate(zip(texts, delims)):
+        if text is None:
+            out[k] = Parsed(0, 0, reason=COLUMN_COUNT, at=0)
+        else:
+            together.setdefault(_check_delim(delim), []).append(k)
+    for delim, places in together.items():
+        starts, at = [], 0
+        for k in places:
+            starts.append(at)
+            at += len(texts[k]) + 1
+        for k, start, p in zip(places, starts, parse_records("\n".join(texts[k] for k in places), delim, layout, starts)):
+            p.start, p.end, p.at = p.start - start, p.end - start, None if p.at is None else p.at - start
+            out[k] = p
+    return out
 
 
 # --- operator ---------------------------------------------------------------------------------
@@ -269,8 +307,10 @@ def parse_lines(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[] for _ in schema]
-            for key, text, delim in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                for p in [parse_record(text, delim, layout)] if single else parse_records(text, delim, layout):
+            keys, texts, delims = (batch.column(k).to_pylist() for k in range(3))
+            parsed = zip(keys, ([p] for p in parse_batch(texts, delims, layout))) if single else zip(keys, (parse_records(t, d, layout) for t, d in zip(texts, delims)))
+            for key, found in parsed:
+                for p in found:
                     row = [key, p.start, p.reason, p.field, p.at, *(p.values if p.values is not None else [None] * len(layout))]
                     for c, v in zip(cols, row):
                         c.append(v)
@@ -295,3 +335,16 @@ def with_delimiters(raw: DataFrame, lists: DataFrame) -> DataFrame:
     """
     delims = lists.groupBy("source_list").agg(F.min("delim").alias("delim"))
     return raw.select("line_id", "source_list", "raw_line").join(delims, "source_list", "left").select("line_id", "raw_line", "delim")
+
+
+def list_texts(raw: DataFrame, lists: DataFrame, lines: int = 1000) -> DataFrame:
+    """(source_list, block, text, delim): the lines of each list as texts of up to so many lines, in their order.
+
+    A list that holds a third of all lines is many texts, so no task gathers a whole list; a text begins where a
+    delivered line begins. Null lines are left out.
+    """
+    delims = lists.groupBy("source_list").agg(F.min("delim").alias("delim"))
+    block = F.floor(F.col("line_no") / lines).cast("long")
+    kept = raw.filter("raw_line is not null").select("source_list", block.alias("block"), "line_no", "line_id", "raw_line").distinct()
+    texts = kept.groupBy("source_list", "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line_id", "raw_line"))), lambda x: x["raw_line"]), "\n").alias("text"))
+    return texts.join(delims, "source_list", "left").select("source_list", "block", "text", "delim")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,21 +14,27 @@ from amalgrid.operators.tables import union_sheets
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_csv(spark: SparkSession, path: str, skip_bad: bool = True, missing_as_null: bool = False) -> DataFrame:
-    """All columns as text. Rows with too many fields are dropped (or raise), short ones end in nulls.
+def field_count(line: Column, delim: str = ",") -> Column:
+    """The number of fields of one CSV record as it stands, quoted ones as one each."""
+    bare = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(delim), F.lit(""))) + 1
 
-    ``missing_as_null`` reads NA, null and the like as null; by default a company may be called NA.
+
+def read_csv(spark: SparkSession, path: str, skip_bad: bool = True, missing_as_null: bool = False, multi_line: bool = True) -> DataFrame:
+    """All columns as text. Rows with too many fields are dropped (or raise), whatever these hold; short ones end in nulls.
+
+    ``missing_as_null`` reads NA, null and the like as null; by default a company may be called NA. Without
+    ``multi_line`` no field holds a line break, and large files are split among tasks.
     """
-    header = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_extra", "_whole"]])
-    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True).option("escape", '"').option("columnNameOfCorruptRecord", "_whole")
-    rows = reader.csv(path)
-    if skip_bad:
-        rows = rows.filter(F.col("_extra").isNull())
-    else:
-        rows = rows.withColumn("_extra", F.when(F.col("_extra").isNotNull(), F.raise_error(F.lit("a row has too many fields"))).otherwise(F.lit(None)))
-        rows = rows.filter(F.col("_extra").isNull())
-    rows = rows.select(*header)
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_whole"]])
+    # Every row that has not just as many fields is kept whole beside what could be read of it.
+    rows = spark.read.schema(schema).options(**options, enforceSchema=True, columnPruning=False, columnNameOfCorruptRecord="_whole").csv(path)
+    bad = F.coalesce(field_count(F.rtrim(F.col("_whole"), F.lit("\r\n"))) > len(header), F.lit(False))
+    if not skip_bad:
+        bad = F.when(bad, F.raise_error(F.lit("a row has too many fields"))).otherwise(F.lit(False))
+    rows = rows.filter(~bad).select(*header)
     if missing_as_null:
         rows = rows.select(*[F.when(~F.col(f"`{c}`").isin(MISSING), F.col(f"`{c}`")).alias(c) for c in header])
     return rows
@@ -60,6 +66,17 @@ def write_pairs(df: DataFrame, original: str, clean: str, path: str) -> None:
     df.select(F.concat_ws(";", F.coalesce(original, F.lit("")), F.coalesce(clean, F.lit("")))).write.mode("overwrite").text(path)
 
 
+def write_edges(df: DataFrame, path: str, a: str = "idx1", b: str = "idx2") -> None:
+    """An adjacency list as Parquet: each node with its sorted distinct neighbours, both directions of every edge.
+
+    Neighbours are split into rows of at most 100,000, so that no row grows with a hot node.
+    """
+    both = df.select(F.col(a).alias("node"), F.col(b).alias("other")).union(df.select(F.col(b).alias("node"), F.col(a).alias("other"))).filter("node is not null and other is not null and node <> other").distinct()
+    sizes = both.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / 100_000).alias("parts"))
+    placed = both.join(sizes, "node").withColumn("part", F.pmod(F.xxhash64("other"), "parts").cast("int"))
+    placed.groupBy("node", "part").agg(F.sort_array(F.collect_list("other")).alias("neighbours")).write.mode("overwrite").parquet(path)
+
+
 def write_names(df: DataFrame, name: str, path: str) -> None:
     """Distinct names, one a line."""
     df.select(name).filter(F.col(name).isNotNull()).distinct().write.mode("overwrite").text(path)

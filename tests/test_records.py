@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from amalgrid.sources.delimited import COLUMN_COUNT, QUOTING, VALUE, failing, parse_lines, parse_record, parse_records, valid, with_delimiters
+from amalgrid.sources.delimited import COLUMN_COUNT, QUOTING, VALUE, failing, parse_lines, parse_record, parse_records, valid, with_delimiters, list_texts, parse_batch
 
 GOOD = "7,Acme Ltd,company,,0.5,3,2024-02-29 23:59:59"
 
@@ -56,3 +56,35 @@ def test_operator(spark):
     rows = {r.line_id: r for r in valid(parsed).collect()}
     assert set(rows) == {1, 2, 4, 6} and rows[2].record_id == 7 and rows[2].batch_id == 3 and len(rows[6].record_name) == 50_000
     assert parse_lines(with_delimiters(raw.limit(0), lists)).count() == 0
+
+
+def test_a_batch_is_read_as_one_text():
+    """Delivered starts are the anchors: a broken quote spoils its own line, and line breaks are content."""
+    texts = [GOOD, line(name='"open'), line(name="a\nb"), None, GOOD.replace(",", ";"), "", line(name='"x\n""y"""'), 'z"' + GOOD]
+    got = parse_batch(texts, [",", ",", ",", ",", ";", None, ",", ","])
+    assert [p.reason for p in got] == [None, QUOTING, None, COLUMN_COUNT, None, COLUMN_COUNT, None, QUOTING]
+    assert got[2].values[1] == "a\nb" and got[6].values[1] == 'x\n"y"' and got[1].at == 2 and got[7].at == 1
+    for t, d, p in zip(texts, [",", ",", ",", ",", ";", None, ",", ","], got):
+        alone = parse_record(t, d)
+        assert (alone.reason, alone.field, alone.at, alone.values) == (p.reason, p.field, p.at, p.values)
+
+
+def test_recovery_is_linear():
+    import time
+
+    start = time.time()
+    text = "\n".join(['9,"never closed,x'] + ["no anchor " * 5] * 40_000 + [GOOD])
+    assert [p.reason for p in parse_records(text, ",")][-1] is None
+    assert time.time() - start < 20
+
+
+def test_lists_as_texts_of_many_records(spark):
+    bad = line(name='"open')
+    rows = [(i, "A" if i % 3 else "B", i, bad if i in (4, 9) else GOOD if i % 3 else GOOD.replace(",", ";")) for i in range(30)] + [(99, "A", 99, None), (1, "A", 1, GOOD)]
+    raw = spark.createDataFrame(rows, "line_id long, source_list string, line_no long, raw_line string")
+    lists = spark.createDataFrame([("A", ","), ("B", ";")], "source_list string, delim string")
+    texts = list_texts(raw, lists, lines=10)
+    assert texts.count() == 6
+    parsed = parse_lines(texts.selectExpr("concat(source_list, block) as place", "text", "delim"), "place", "text", "delim", single=False)
+    counts = {(r.place, r.reason): r["count"] for r in parsed.groupBy("place", "reason").count().collect()}
+    assert sum(n for (_, why), n in counts.items() if why is None) == 28 and counts["A0", QUOTING] == 1 and counts["B0", QUOTING] == 1
