@@ -219,16 +219,17 @@ scored AS (SELECT company1, company2, label,
 """
 
 
-@query(_PAIRS + "SELECT company1, company2, label, round(jaccard, 9) AS jaccard, round(cosine, 9) AS cosine, round(token_jaccard, 9) AS token_jaccard, round(token_overlap, 9) AS token_overlap, round(core_name_similarity, 9) AS core_name_similarity FROM scored")
+@query(_PAIRS + "SELECT company1, company2, label, round(jaccard, 9) AS jaccard, round(cosine, 9) AS cosine, round(token_jaccard, 9) AS token_jaccard, round(token_overlap, 9) AS token_overlap FROM scored")
 def pair_set_features(spark, sf):
     made = similarity.add_features(table(spark, sf, "labelled_pairs").select("company1", "company2", "label").distinct(), python=False)
-    return made.select("company1", "company2", "label", *[F.round(c, 9).alias(c) for c in ("jaccard", "cosine", "token_jaccard", "token_overlap", "core_name_similarity")])
+    return made.select("company1", "company2", "label", *[F.round(c, 9).alias(c) for c in ("jaccard", "cosine", "token_jaccard", "token_overlap")])
 
 
 _PART_PAIRS = f"""
-WITH corpus AS ({CORPUS}), named AS (SELECT record_id, {_company('record_name')} AS a FROM corpus),
-pairs AS (SELECT x.record_id AS idx1, y.record_id AS idx2, x.a, y.a AS b, greatest(length(x.a), length(y.a)) AS n FROM named x JOIN named y ON y.record_id = x.record_id + 1)
-SELECT idx1, idx2, round(1 - levenshtein(a, b) / n::DOUBLE, 9) AS levenshtein, round((n - hamming(rpad(a, n::INT, ' '), rpad(b, n::INT, ' '))) / n::DOUBLE, 9) AS hamming FROM pairs
+WITH corpus AS ({CORPUS}), named AS (SELECT record_id, {_company('record_name')} AS a FROM corpus), cored AS (SELECT *, {_company('a', True)} AS c FROM named),
+pairs AS (SELECT x.record_id AS idx1, y.record_id AS idx2, x.a, y.a AS b, x.c, y.c AS d, greatest(length(x.a), length(y.a)) AS n FROM cored x JOIN cored y ON y.record_id = x.record_id + 1)
+SELECT idx1, idx2, round(1 - levenshtein(a, b) / n::DOUBLE, 9) AS levenshtein, round((n - hamming(rpad(a, n::INT, ' '), rpad(b, n::INT, ' '))) / n::DOUBLE, 9) AS hamming,
+  round(CASE WHEN c = '' OR d = '' THEN 0 ELSE 1 - levenshtein(c, d) / greatest(length(c), length(d))::DOUBLE END, 9) AS core_name_similarity FROM pairs
 """
 
 
@@ -238,7 +239,7 @@ def neighbour_edit_features(spark, sf):
     a = corpus(spark, sf).select(F.col("record_id").alias("idx1"), F.col("record_name").alias("company1"))
     b = corpus(spark, sf).select((F.col("record_id") - 1).alias("idx1"), F.col("record_id").alias("idx2"), F.col("record_name").alias("company2"))
     made = similarity.add_features(a.join(b, "idx1"), python=False)
-    return made.select("idx1", "idx2", F.round("levenshtein", 9).alias("levenshtein"), F.round("hamming", 9).alias("hamming"))
+    return made.select("idx1", "idx2", F.round("levenshtein", 9).alias("levenshtein"), F.round("hamming", 9).alias("hamming"), F.round("core_name_similarity", 9).alias("core_name_similarity"))
 
 
 @query()

@@ -264,16 +264,16 @@ def log_levels(spark, sf):
 
 
 @query("""WITH d AS (SELECT DISTINCT * FROM labelled_pairs WHERE company1 IS NOT NULL AND company2 IS NOT NULL AND label IS NOT NULL),
-r AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY company1, company2) - 1) / nullif(count(*) OVER (PARTITION BY label) - 1, 0)::DOUBLE AS at FROM d)
-SELECT label, CASE WHEN coalesce(at, 0) < 0.2::DOUBLE THEN 'test' WHEN at < 0.2::DOUBLE + 0.1::DOUBLE THEN 'validation' ELSE 'train' END AS part, count(*) AS n FROM r GROUP BY ALL""")
+r AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY company1, company2) - 1) / nullif(count(*) OVER (PARTITION BY label) - 1, 0)::DOUBLE AS place FROM d)
+SELECT label, CASE WHEN coalesce(place, 0) < 0.2::DOUBLE THEN 'test' WHEN place < 0.2::DOUBLE + 0.1::DOUBLE THEN 'validation' ELSE 'train' END AS part, count(*) AS n FROM r GROUP BY ALL""")
 def split_label_counts(spark, sf):
     """The exact counts of each label in each part of a stratified split of the distinct pairs."""
     rows = learning.stratified_split(learning.load_pairs(table(spark, sf, "labelled_pairs")).distinct())
     return rows.groupBy("label", "part").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH d AS (SELECT DISTINCT * FROM labelled_pairs), r AS (SELECT (row_number() OVER () - 1) / (count(*) OVER () - 1)::DOUBLE AS at FROM d)
-SELECT CASE WHEN at < 0.2::DOUBLE THEN 'test' ELSE 'train' END AS part, count(*) AS n FROM r GROUP BY 1""")
+@query("""WITH d AS (SELECT DISTINCT * FROM labelled_pairs), r AS (SELECT (row_number() OVER () - 1) / (count(*) OVER () - 1)::DOUBLE AS place FROM d)
+SELECT CASE WHEN place < 0.2::DOUBLE THEN 'test' ELSE 'train' END AS part, count(*) AS n FROM r GROUP BY 1""")
 def plain_split_counts(spark, sf):
     return learning.plain_split(table(spark, sf, "labelled_pairs").distinct()).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
