@@ -117,7 +117,9 @@ _BUCKET_BY = {COUNTS: "node", FORMS: "form", LINKS: "a", DELIVERED: "mark"}
 class CopyLedger:
     """The ledger at a path all executors share; a new one is empty.
 
-    ``path`` defaults to a fresh folder beside the checkpoints. ``buckets`` is fixed when a ledger is made.
+    ``path`` defaults to a fresh folder beside the checkpoints. ``buckets`` is fixed when a ledger is made. Results read
+    the version they were asked of: use them before the next batch is added. ``close`` takes the names of the
+    ledger's tables out of the catalog; the files stay.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
@@ -127,6 +129,7 @@ class CopyLedger:
             path = f"{spark.sparkContext.getCheckpointDir()}/copies-{uuid.uuid4().hex}"
         self.path = path
         self._fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._views: list[str] = []
         now = self._at("CURRENT")
         if self._exists(now):
             version, held = spark.read.text(now).first()[0].split(" ")
@@ -145,17 +148,25 @@ class CopyLedger:
         system, where = self._files(path)
         return system.exists(where)
 
+    def _view(self, name: str) -> str:
+        self._views.append(f"ledger_{name}_{uuid.uuid4().hex}")
+        return self._views[-1]
+
+    def close(self) -> None:
+        while self._views:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._views.pop()}")
+
     def table(self, name: str) -> DataFrame:
         if not self.version:
             return self.spark.createDataFrame([], _SCHEMAS[name])
-        view = f"ledger_{name}_{uuid.uuid4().hex}"
+        view = self._view(name)
         by = _BUCKET_BY[name]
         self.spark.sql(f"CREATE TABLE {view} ({_SCHEMAS[name]}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self._at(f'v{self.version}', name)}'")
         return self.spark.table(view)
 
     def _store(self, df: DataFrame, name: str, version: int) -> DataFrame:
         by = _BUCKET_BY[name]
-        view = f"ledger_{name}_{uuid.uuid4().hex}"
+        view = self._view(name)
         df.write.format("parquet").mode("overwrite").option("path", self._at(f"v{version}", name)).bucketBy(self.buckets, by).sortBy(by).saveAsTable(view)
         return self.spark.table(view)
 

@@ -151,7 +151,8 @@ def python_column(df: DataFrame, function, source: str, target: str, kind: str =
     def run(values: pa.Array) -> pa.Array:
         return pa.array([None if v is None else function(v) for v in values.to_pylist()], pa.string())
 
-    return df.withColumn(target, run(F.col(source)))
+    # Declared so, it is evaluated once: a filter on its result would else be pushed down with a copy of it.
+    return df.withColumn(target, run.asNondeterministic()(F.col(source)))
 
 
 def add_skeleton(df: DataFrame, source: str, target: str) -> DataFrame:

@@ -95,7 +95,10 @@ def test_ledger_is_the_same_for_any_batches(spark, order, tmp_path):
     rows = sorted(map(tuple, again.copies(members[0].union(members[1]).union(members[2])).collect()))
     assert rows == sorted(map(tuple, whole.copies(everyone).collect()))
     assert again.add(spark.createDataFrame(BATCHED, schema)).count() == 0
-    assert sorted(map(tuple, CopyLedger(spark, place).names().collect())) == want
+    last = CopyLedger(spark, place)
+    assert sorted(map(tuple, last.names().collect())) == want
+    last.close()
+    assert sorted(map(tuple, last.names().collect())) == want
 
 
 def test_ledger_of_nothing(spark):
