@@ -114,18 +114,48 @@ def bottom_up_clusters(spark, sf):
     return graph.agglomerative(nodes, pairs, 0.3)
 
 
-@query()
+def _letters() -> str:
+    from amalgrid.plans.names import _company
+
+    return _IN + f"""named AS (SELECT internal_id AS idx, min(name) AS company FROM all_records_clean_names WHERE internal_id IS NOT NULL GROUP BY 1),
+blocks AS (SELECT idx, substr({_company('company')}, 1, 1) AS block FROM named),
+e0 AS (SELECT idx1 AS a, idx2 AS b FROM p JOIN blocks x ON x.idx = idx1 JOIN blocks y ON y.idx = idx2 WHERE x.block = y.block AND 1 - s <= 0.3::DOUBLE),
+e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0), reach(idx, root) AS (SELECT idx, idx FROM nodes UNION SELECT e.b, r.root FROM reach r JOIN e ON e.a = r.idx),
+roots AS (SELECT idx, min(root) AS root FROM reach GROUP BY 1), sized AS (SELECT idx, root, count(*) OVER (PARTITION BY root) AS n FROM roots),
+first AS (SELECT block, min(idx) AS f FROM blocks GROUP BY 1),
+ranked AS (SELECT root, row_number() OVER (ORDER BY f, root) - 1 AS k FROM (SELECT DISTINCT root FROM sized WHERE n > 1) JOIN blocks ON idx = root JOIN first USING (block))
+SELECT idx, coalesce(k, -1) AS cluster_id FROM sized LEFT JOIN ranked USING (root)"""
+
+
+@query(_letters())
 def letter_density_clusters(spark, sf):
     nodes, pairs = _inputs(spark, sf)
     names = table(spark, sf, "all_records_clean_names").filter("internal_id is not null").groupBy(F.col("internal_id").alias("idx")).agg(F.min("name").alias("company"))
     return graph.two_phase(names, pairs)
 
 
-@query()
+def _run(name: str, labels: str) -> str:
+    """A run's summary and silhouette in SQL, from a query that ends in a table ``labels``."""
+    sizes = labels + """, sizes AS (SELECT cluster_id, count(*) AS size FROM labels GROUP BY 1) SELECT count(*) FILTER (WHERE cluster_id >= 0) AS n_clusters, coalesce(sum(size) FILTER (WHERE cluster_id = -1), 0)::BIGINT AS n_noise,
+  round(coalesce(sum(size) FILTER (WHERE cluster_id = -1), 0) / sum(size), 9) AS noise_ratio, round(avg(size) FILTER (WHERE cluster_id >= 0), 9) AS mean_size, quantile_cont(size, 0.5) FILTER (WHERE cluster_id >= 0) AS median_size,
+  min(size) FILTER (WHERE cluster_id >= 0) AS min_size, max(size) FILTER (WHERE cluster_id >= 0) AS max_size FROM sizes"""
+    silhouette = labels + """, known AS (SELECT idx, cluster_id, count(*) OVER (PARTITION BY cluster_id) AS n FROM labels WHERE cluster_id >= 0), kk AS (SELECT count(DISTINCT cluster_id) AS k FROM known),
+ways AS (SELECT idx1 AS i, idx2 AS j, s FROM p UNION ALL SELECT idx2, idx1, s FROM p), sims AS (SELECT w.i, x.cluster_id AS c, x.n, sum(s) AS t FROM ways w JOIN known x ON x.idx = w.j GROUP BY ALL),
+own AS (SELECT o.idx, t FROM known o JOIN sims ON i = o.idx AND c = o.cluster_id), other AS (SELECT o.idx, count(*) AS m, min(1 - t / sims.n) AS b FROM known o JOIN sims ON i = o.idx AND c <> o.cluster_id GROUP BY 1),
+ab AS (SELECT o.n, 1 - coalesce(t, 0) / nullif(o.n - 1, 0) AS a, least(CASE WHEN coalesce(m, 0) < k - 1 THEN 1 ELSE 2 END, coalesce(b, 1)) AS b FROM known o CROSS JOIN kk LEFT JOIN own USING (idx) LEFT JOIN other USING (idx))
+SELECT round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 9) AS silhouette FROM ab"""
+    return f"SELECT s.*, q.silhouette, '{name}' AS run FROM ({sizes}) s, ({silhouette}) q"
+
+
+_COMPONENT_LABELS = _cc("s >= 0.7::DOUBLE") + "labels AS (SELECT idx, dense_rank() OVER (ORDER BY root) - 1 AS cluster_id FROM sized)"
+
+
+@query(_run("density", _DB.rstrip()) + " UNION ALL " + _run("components", _COMPONENT_LABELS))
 def clustering_runs(spark, sf):
     nodes, pairs = _inputs(spark, sf)
     runs = {"density": cut(graph.dbscan(nodes, pairs)), "components": cut(graph.threshold_clusters(nodes, pairs))}
-    return graph.compare_runs(runs, pairs)
+    rows = graph.compare_runs(runs, pairs)
+    return rows.withColumns({c: F.round(c, 9) for c in ("noise_ratio", "mean_size", "silhouette")})
 
 
 _LISTS = """WITH RECURSIVE nodes AS (SELECT DISTINCT internal_id AS idx FROM all_records_clean_names WHERE internal_id IS NOT NULL),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
+from amalgrid.functions.tfidf import similar_pairs
 from amalgrid.operators import learning, pairs, tables
 from amalgrid.session import table
 from amalgrid.streaming import ledger
@@ -356,11 +357,11 @@ def component_shares(spark, sf):
 
 @query()
 def predicted_matches(spark, sf):
-    """Pairs of the first-letter blocks of the labelled names, scored by a model trained on the labelled pairs."""
+    """Pairs of the labelled names that share letter triples, scored by a model trained on the labelled pairs."""
     labelled = table(spark, sf, "labelled_pairs")
     model, _ = learning.train_and_evaluate(labelled, rounds=20)
     names = tables.dense_ids(labelled.select(F.col("company1").alias("company")).union(labelled.select("company2")), "company", "idx")
-    found = learning.predict_pairs(model, names, candidates=pairs.block_pairs(names))
+    found = learning.predict_pairs(model, names, candidates=similar_pairs(names, 0.5))
     return found.filter("prediction = 1").select("idx1", "idx2", "company1", "company2", F.round("prediction_proba", 6).alias("prediction_proba"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,8 @@ def get_spark(app: str = "amalgrid", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # What was cut goes when nothing refers to it any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings |= {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
@@ -34,7 +38,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if named:
         sc.setCheckpointDir(named)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="amalgrid-checkpoint-"))
+        # One machine: its own folder is shared by all tasks. It goes with the process.
+        place = tempfile.mkdtemp(prefix="amalgrid-checkpoint-")
+        atexit.register(shutil.rmtree, place, ignore_errors=True)
+        sc.setCheckpointDir(place)
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
