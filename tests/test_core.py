@@ -163,6 +163,19 @@ def test_table_operators(spark):
     assert casing.config_hash({"b": 1, "a": 2}) == casing.config_hash({"a": 2, "b": 1})
 
 
+def test_block_pairs_are_many_tasks(spark):
+    """A short list of names has many pairs: they are made by many tasks, in any parts, and each once."""
+    ids = [(i, f"a{i}") for i in range(1700)] + [(i, f"b{i}") for i in range(1700, 2000)] + [(5, "a again"), (None, "a none")]
+    df = spark.createDataFrame(ids, "idx long, company string").coalesce(1)
+    want = sorted((*sorted((x[0], y[0])), x[1][0]) for x, y in itertools.combinations(ids[:-1], 2) if x[0] != y[0] and x[1][0] == y[1][0])
+    for part in (5000, 600):
+        made = pairs.block_pairs(df, part=part, keep_block=True)
+        rows = made.withColumn("task", F.spark_partition_id()).toPandas()
+        assert sorted(rows[["idx1", "idx2", "block"]].itertuples(index=False, name=None)) == want
+        assert rows["task"].nunique() > 2
+    assert pairs.block_pairs(df.limit(0)).count() == 0
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('record_name,b\nx,1\ny,2,3\nz\n"q, r",4\nNA,5\n,6\n', encoding="utf-8")
     rows = files.read_csv(spark, str(tmp_path / "a.csv"))
