@@ -43,6 +43,18 @@ def test_letters_decide_not_copies(spark):
     assert got[50] == clean[0] and got[82] == "City of Golvördür"
 
 
+def test_a_common_word_of_a_rare_script_is_no_accident(spark):
+    """Cyrillic names outnumber the Greek ones, so the letters of the Cyrillic misreading of a Greek word read better."""
+    wrong = garble("ΕΠΕ", (("cp1253", "cp1251"),))
+    assert plausible(wrong) and wrong == "ЕРЕ"
+    endings = ("на", "сов", "лин", "ма", "рик", "тор")
+    cyrillic = [f"{a}{b}{c} {d}" for a in ("Вере", "Море", "Ели", "Река", "Перо") for b in endings for c in ("", "к", "ск") for d in ("Торг", "Строй", "Сервис")]
+    greek = [f"{a}{b} ΕΠΕ" for a in ("Ελε", "Παπα", "Νικο", "Επα", "Μεπ") for b in ("νης", "δος", "λος", "ρας", "κης")]
+    rows = [(i, n) for i, n in enumerate(cyrillic + greek)] + [(500, f"Ζευς {wrong}"), (501, "Ζευς επε")]
+    df = spark.createDataFrame(rows, "record_id long, record_name string")
+    assert {r.record_id: r.restored for r in garbled_records(df).collect()} == {500: "Ζευς ΕΠΕ"}
+
+
 def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "record_id long, record_name string")
     assert garbled_records(empty).count() == 0
