@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,22 @@ def test_block_pairs_are_many_tasks(spark):
     assert pairs.block_pairs(df.limit(0)).count() == 0
 
 
+def test_block_pairs_come_in_runs(spark, tmp_path):
+    """The pairs of a name follow each other, of several parts and ids that repeat too, so that a table of them is small."""
+    ids = [*range(1200), *[7] * 3, *[900] * 700]
+    df = spark.createDataFrame([(i, f"a{i}") for i in ids], "idx long, company string")
+    want = Counter()
+    for (i, n), (j, m) in itertools.combinations(sorted(Counter(ids).items()), 2):
+        want[i, j] = n * m
+    for part in (5000, 400):
+        made = pairs.block_pairs(df, part=part)
+        made.write.parquet(str(tmp_path / str(part)))
+        assert sum(p.stat().st_size for p in (tmp_path / str(part)).glob("*.parquet")) < 0.6 * want.total()
+        rows = made.withColumn("task", F.spark_partition_id()).toPandas()
+        assert Counter(zip(rows["idx1"], rows["idx2"], strict=True)) == want
+        assert (rows["idx1"].diff() != 0).sum() < len(rows) / 100
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('record_name,b\nx,1\ny,2,3\nz\n"q, r",4\nNA,5\n,6\n', encoding="utf-8")
     rows = files.read_csv(spark, str(tmp_path / "a.csv"))
